@@ -1,0 +1,115 @@
+"""Choosing match sets (operators MX3-MX6, W7, A22-A25, A30)."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from weftlink.functions.exprs import f_half, oracle_f_half
+
+MODES = ("none", "softmax", "hard", "softmax_hard")
+
+
+def grid() -> list[tuple[str, float, float]]:
+    """MX6: (policy, first, second parameter), 200 of them."""
+    steps = lambda lo, n, by: [round(lo + by * k, 3) for k in range(n)]
+    out = [("threshold", t, 0.0) for t in steps(0.2, 31, 0.025)]
+    out += [("two_threshold", a, b) for a in steps(0.25, 12, 0.05) for b in steps(0.4, 12, 0.05)]
+    return out + [("expected_f", a, b) for a in (0.7, 0.85, 1.0, 1.2, 1.5) for b in (-1.0, -0.5, 0.0, 0.5, 1.0)]
+
+
+def expected_f(q: np.ndarray, beta2: float = 0.25) -> np.ndarray:
+    """MX3: expected F of predicting the first k of independent probabilities, k = 0..K.
+
+    The number of true ones among the first k and among the rest are independent sums:
+    their distributions come from one pass each way, and F is summed over both."""
+    n = len(q)
+    after = [np.ones(1)]
+    for p in q[::-1]:
+        after.append(np.convolve(after[-1], [1 - p, p]))
+    out = np.empty(n + 1)
+    out[0] = after[n][0]
+    before = np.ones(1)
+    for k in range(1, n + 1):
+        before = np.convolve(before, [1 - q[k - 1], q[k - 1]])
+        tp, rest = np.arange(k + 1)[:, None], np.arange(n - k + 1)
+        f = (1 + beta2) * tp / (beta2 * (tp + rest) + k)
+        out[k] = before @ f @ after[n - k]
+    return out
+
+
+def best_size(q: np.ndarray, a: float = 1.0, b: float = 0.0) -> int:
+    """MX4: how many of the likeliest to take, after calibrating their logits by a and b."""
+    if not len(q):
+        return 0
+    c = np.clip(q, 1e-6, 1 - 1e-6)
+    z = np.clip(a * np.log(c / (1 - c)) + b, -40, 40)
+    # a pair that exclusivity has ruled out stays out
+    return int(expected_f(np.where(q > 0, 1 / (1 + np.exp(-z)), 0.0)).argmax())
+
+
+def top_layout(pairs: DataFrame, p: str, k: int) -> DataFrame:
+    """(i, q): each entity's ``k`` greatest probabilities, from the top."""
+    top = F.row_number().over(Window.partitionBy("i").orderBy(F.desc(p), "j"))
+    few = pairs.withColumn("__r", top).where(F.col("__r") <= k)
+    return few.groupBy("i").agg(F.transform(F.array_sort(F.collect_list(F.struct("__r", F.col(p).alias("p")))), lambda x: x["p"]).alias("q"))
+
+
+def select(pairs: DataFrame, p: str, policy: str, first: float, second: float = 0.0, k: int = 12) -> DataFrame:
+    """MX5: pairs with ``sel``. threshold: p >= first. two_threshold: an entity's best from
+    first, others from second if the best reached first. expected_f: the best number."""
+    if policy == "threshold":
+        return pairs.withColumn("sel", F.col(p) >= first)
+    w = Window.partitionBy("i")
+    r = pairs.withColumn("rk", F.row_number().over(w.orderBy(F.desc(p), "j")))
+    if policy == "two_threshold":
+        top = F.max(p).over(w) >= first
+        return r.withColumn("sel", F.when(F.col("rk") == 1, F.col(p) >= first).otherwise((F.col(p) >= second) & top)).drop("rk")
+    if policy != "expected_f":
+        raise ValueError(policy)
+
+    def size(q: pd.Series) -> pd.Series:
+        return pd.Series([best_size(np.asarray(x, float), first, second) for x in q], dtype="int64")
+
+    n = top_layout(pairs, p, k).select("i", F.pandas_udf(size, "long")(F.col("q")).alias("__k"))
+    return r.join(n, "i").withColumn("sel", F.col("rk") <= F.col("__k")).drop("rk", "__k")
+
+
+def per_entity(entities: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Entities (i, n_true) with the number chosen, the true ones among them, and F0.5;
+    chosen: (i, label). n_true counts all true pairs, those that blocking lost too."""
+    c = chosen.groupBy("i").agg(F.count("*").alias("k"), F.sum(F.col("label").cast("long")).alias("tp"))
+    e = entities.join(c, "i", "left").withColumn("k", F.coalesce("k", F.lit(0))).withColumn("tp", F.coalesce("tp", F.lit(0)))
+    return e.withColumn("f05", f_half(F.col("n_true"), F.col("k"), F.col("tp")))
+
+
+def breakdown(scored: DataFrame, by: str | None = None) -> DataFrame:
+    """Macro F0.5 of all, singletons and matched entities, and the rates of singletons
+    with a false match and of matched ones left empty; for all, and for each ``by``."""
+    one, more = F.col("n_true") == 0, F.col("n_true") > 0
+    share = lambda c, x: F.round(F.avg(F.when(c, x)), 6)
+    cols = [F.round(F.avg("f05"), 6).alias("f05"), F.count("*").alias("n"), share(one, F.col("f05")).alias("singletons"), share(more, F.col("f05")).alias("with_matches"), share(one, (F.col("k") > 0).cast("double")).alias("false_merge_rate"), share(more, (F.col("k") == 0).cast("double")).alias("empty_rate")]
+    return scored.rollup(by).agg(*cols) if by else scored.agg(*cols)
+
+
+def oracle(entities: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Recall of the pairs, pairs for each entity, and the best macro F0.5 they allow."""
+    c = pairs.groupBy("i").agg(F.count("*").alias("c"), F.sum(F.col("label").cast("long")).alias("tp"))
+    e = entities.join(c, "i", "left").withColumn("tp", F.coalesce("tp", F.lit(0)))
+    return e.agg(F.round(F.sum("tp") / F.sum("n_true"), 6).alias("recall"), F.round(F.sum(F.coalesce("c", F.lit(0))) / F.count("*"), 6).alias("pairs_per_s1"), F.round(F.avg(oracle_f_half(F.col("n_true"), F.col("tp"))), 6).alias("oracle_f05"))
+
+
+def tune(scored: DataFrame) -> DataFrame:
+    """Of (cfg, fold, f, n): sums of F for each setting and fold: the setting that is
+    best overall, each fold's score under the setting that is best on the others (the
+    cross-fitted estimate), and the ten best."""
+    per = scored.groupBy("cfg", "fold").agg(F.sum("f").alias("f"), F.sum("n").alias("n"))
+    w = Window.partitionBy("cfg")
+    out = per.withColumn("rest", F.sum("f").over(w) - F.col("f")).withColumn("all_f", F.sum("f").over(w)).withColumn("all_n", F.sum("n").over(w))
+    held = out.withColumn("__r", F.row_number().over(Window.partitionBy("fold").orderBy(F.desc(F.round("rest", 9)), "cfg"))).where("__r = 1")
+    cross = held.agg(F.round(F.sum("f") / F.sum("n"), 6).alias("crossfit_f05"))
+    top = out.select("cfg", F.round(F.col("all_f") / F.col("all_n"), 6).alias("f05")).distinct().orderBy(F.desc("f05"), "cfg").limit(10)
+    # ten rows and one
+    return top.join(cross)

@@ -1,11 +1,19 @@
-"""Queries over the library's operators, and the SQL they are held against."""
+"""Queries over the library's operators, and the SQL they are held against.
+
+The tables hold no business records, so each operator runs on an analogue: documents
+stand for records (language for country, doc_id divisible by 3 for the clean source,
+words for tokens, equal texts for the truth), order lines for scored pairs."""
 
 from __future__ import annotations
 
+from . import audits, linkage, pairs, texts
+
+PARTS = (linkage, pairs, audits, texts)
+
 
 def queries() -> dict:
-    return {}
+    return {k: v for m in PARTS for k, v in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in PARTS for k, v in m.SQL.items()}

@@ -1 +1,117 @@
+"""Tab-separated sources, ground truth, and ID-list sinks (operators IO1-IO5, IO18-IO21, F2, F4, J1, U1)."""
 
+from __future__ import annotations
+
+import json
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from weftlink.functions.normalize import trim_all
+
+SOURCE = ["entity_id", "business_name", "business_address", "country"]
+TRUTH = ["source1_entity_id", "matched_entity_ids"]
+
+
+def read_tsv(spark: SparkSession, path: str, expect: list[str], strict: bool = True) -> DataFrame:
+    """IO1 / IO2: a tab-separated file with a header and no quoting, all text, never null.
+
+    strict: rows with too many fields are repaired (of two columns the rest is joined by
+    commas into the second; of more the surplus is joined by blanks into the last but
+    one), rows with too few are filled with empty texts; blank lines are no rows. Not
+    strict: rows with too many fields are dropped. Missing columns are an error."""
+    lines = spark.read.text(path)
+    first = lines.select("value").first()
+    head = [c.strip() for c in (first[0] if first else "").lstrip("﻿").rstrip("\r").split("\t")]
+    if missing := [c for c in expect if c not in head]:
+        raise ValueError(f"{path} lacks {missing}")
+    n = len(head)
+    raw = F.regexp_replace("value", r"\r$", "")
+    rows = lines.where((F.regexp_replace(raw, "^﻿", "") != first[0].lstrip("﻿").rstrip("\r")) & (raw != ""))
+    f = F.split(raw, "\t", -1)
+    rows = rows.select(f.alias("f")).withColumn("k", F.size("f"))
+    if not strict:
+        rows = rows.where(F.col("k") <= n)
+    if n == 2:
+        long = F.array(F.get("f", F.lit(0)), F.array_join(F.slice("f", F.lit(2), F.col("k")), ","))
+    else:
+        long = F.concat(F.slice("f", 1, n - 2), F.array(F.array_join(F.slice("f", F.lit(n - 1), F.col("k") - (n - 1)), " ")), F.slice("f", -1, 1))
+    f = F.when(F.col("k") > n, long).otherwise(F.col("f"))
+    rows = rows.select(f.alias("f"))
+    return rows.select(*(trim_all(F.coalesce(F.get("f", F.lit(head.index(c))), F.lit(""))).alias(c) for c in expect))
+
+
+def union_sources(tables: list[DataFrame]) -> DataFrame:
+    """IO3, U1, F2: records of all sources with their number (1 is the clean one)."""
+    tagged = [t.select("entity_id", F.col("business_name").alias("name"), F.col("business_address").alias("address"), "country", F.lit(k).cast("tinyint").alias("src")) for k, t in enumerate(tables, 1)]
+    return reduce(DataFrame.unionByName, tagged)
+
+
+def is_s1() -> F.Column:
+    """F4."""
+    return F.col("src") == 1
+
+
+def first_of(rows: DataFrame, key: str, order: list) -> DataFrame:
+    """A3: the first row of each key, by the given order."""
+    w = Window.partitionBy(key).orderBy(*order)
+    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
+def explode_ids(rows: DataFrame, key: str, ids: str) -> DataFrame:
+    """IO4, IO19: (key, id) of comma lists; trimmed, without empty ones, each once."""
+    one = rows.select(F.col(key).alias("key"), F.explode(F.split(F.coalesce(F.col(ids), F.lit("")), ",")).alias("id"))
+    return one.select("key", trim_all(F.col("id")).alias("id")).where("id <> ''").distinct()
+
+
+def known_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs whose both ends are known ids (one column ``entity_id`` each)."""
+    a, b = left.select(F.col("entity_id").alias("key")).distinct(), right.select(F.col("entity_id").alias("id")).distinct()
+    return pairs.join(a, "key", "left_semi").join(b, "id", "left_semi")
+
+
+def join_ids(pairs: DataFrame, key: str, value: str, order: list) -> DataFrame:
+    """Ids of each key as one comma list in the given order."""
+    s = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), F.col(value).cast("string").alias("v"))
+    return pairs.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["v"]), ",").alias("ids"))
+
+
+def write_id_lists(keys: DataFrame, lists: DataFrame, key: str, path: str, name: str) -> None:
+    """IO18: one row for each key, an empty list where there is none."""
+    out = keys.join(lists, key, "left").select(key, F.coalesce("ids", F.lit("")).alias(name))
+    out.orderBy(key).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+
+
+def check_lists(matches: DataFrame, candidates: DataFrame, s1: DataFrame, records: DataFrame) -> dict[str, int]:
+    """Faults of two ID-list tables (key, ids): keys missing, unknown or
+    twice, unknown ids, ids twice in a list, and matches that are no candidates."""
+    out = {}
+    for name, t in (("matches", matches), ("candidates", candidates)):
+        ids = t.select("key", F.explode(F.split("ids", ",")).alias("id")).where("id <> ''")
+        out[f"{name}_missing"] = s1.join(t, s1.entity_id == t.key, "left_anti").count()
+        out[f"{name}_unknown"] = t.join(s1, s1.entity_id == t.key, "left_anti").count()
+        out[f"{name}_repeated"] = t.groupBy("key").count().where("count > 1").count()
+        out[f"{name}_bad_ids"] = ids.join(records, records.entity_id == ids.id, "left_anti").count()
+        out[f"{name}_twice"] = ids.groupBy("key", "id").count().where("count > 1").count()
+    m, c = (t.select("key", F.explode(F.split("ids", ",")).alias("id")).where("id <> ''") for t in (matches, candidates))
+    out["not_candidates"] = m.join(c, ["key", "id"], "left_anti").count()
+    return out
+
+
+def write_json(spark: SparkSession, path: str, value: dict, append: bool = False) -> None:
+    """IO20: reports and the experiment log."""
+    spark.createDataFrame([(json.dumps(value, sort_keys=True, default=str),)], "value string").coalesce(1).write.mode("append" if append else "overwrite").text(path)
+
+
+def folds(entities: DataFrame, n: int, by: str | None = None, seed: int = 42) -> DataFrame:
+    """IO21, J10: (entity_id, fold): hash order in ``n`` equal parts, or the values of ``by``
+    (left-out-country folds). The same entities always get the same folds."""
+    if by:
+        return entities.select("entity_id", F.col(by).alias("fold"))
+    return entities.select("entity_id", F.pmod(F.xxhash64("entity_id", F.lit(seed)), F.lit(n)).cast("int").alias("fold"))
+
+
+def hash_sample(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """``n`` rows by hash order, the same in each run."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
