@@ -8,17 +8,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a word of bits a step."""
+def _places(a: str) -> dict[str, int]:
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return where
+
+
+def _lcs(where: dict[str, int], n: int, b: str) -> int:
+    full = (1 << n) - 1
     s = full
     for c in b:
-        u = s & where.get(c, 0)
-        s = (s + u | s - u) & full
-    return len(a) - s.bit_count()
+        if u := s & where.get(c, 0):
+            s = (s + u | s - u) & full
+    return n - s.bit_count()
+
+
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a word of bits a step."""
+    return _lcs(_places(a), len(a), b)
 
 
 def ratio(a: str, b: str) -> float:
@@ -53,9 +61,20 @@ def partial_ratio(a: str, b: str) -> float:
         a, b = b, a
     if not a:
         return 100.0 if not b else 0.0
-    m = len(a)
-    best = max(ratio(a, b[max(0, i) : i + m]) for i in range(1 - m, len(b)))
-    return max(best, max(ratio(b, a[max(0, i) : i + m]) for i in range(1 - m, m))) if len(b) == m else best
+    best = _best_window(a, b)
+    return max(best, _best_window(b, a)) if len(a) == len(b) else best
+
+
+def _best_window(a: str, b: str) -> float:
+    m, where, best = len(a), _places(a), 0.0
+    for i in range(1 - m, len(b)):
+        w = b[max(0, i) : i + m]
+        # a window that ends outside of a's letters is no better than the one before or a shorter one
+        if (w[-1] if i + m <= len(b) else w[0]) in where:
+            best = max(best, 200.0 * _lcs(where, m, w) / (m + len(w)))
+            if best == 100.0:
+                break
+    return best
 
 
 def partial_token_ratio(a: str, b: str) -> float:

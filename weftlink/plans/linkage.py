@@ -38,8 +38,9 @@ def _stats(spark: SparkSession, d: str) -> DataFrame:
     return B.idf(_tokens(spark, d), _sizes(spark, d), MAX_DF)
 
 
-def _sims(spark: SparkSession, d: str) -> DataFrame:
-    return B.similarities(B.weights(_tokens(spark, d), _stats(spark, d)))
+def _sims(spark: SparkSession, d: str, views: tuple[str, ...] = B.VIEWS) -> DataFrame:
+    toks = _tokens(spark, d).where(F.col("view").isin(*views))
+    return B.similarities(B.weights(toks, B.idf(toks, _sizes(spark, d), MAX_DF)))
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
@@ -102,7 +103,7 @@ def budget_cut_tokens(spark: SparkSession, d: str) -> DataFrame:
 def _topk(spark: SparkSession, d: str, key: str, other: str, k: int) -> DataFrame:
     from pyspark.sql import Window
 
-    s = _sims(spark, d).select("grp", "i", "j", F.round("bs_name", 9).alias("score")).where("score > 0")
+    s = _sims(spark, d, ("name",)).select("grp", "i", "j", F.round("bs_name", 9).alias("score")).where("score > 0")
     w = Window.partitionBy("grp", key).orderBy(F.desc("score"), other)
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("grp", "i", "j", F.round("score", 6).alias("score"), "rank")
 
