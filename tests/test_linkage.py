@@ -187,3 +187,18 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(cols) == sorted(df.columns)
     text = lambda v: v if not isinstance(v, float) else f"{v:.6g}"
     assert sorted(str([text(v) for v in x]) for x in df.select(*cols).collect()) == sorted(str([text(v) for v in x]) for x in r.fetchall())
+
+
+def test_running_counts(spark):
+    r = np.random.default_rng(0)
+    values = [float(x) for x in r.integers(0, 500, 3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").groupBy("v").agg(F.count("*").alias("m"))
+    got = {x["v"]: x["below"] for x in audit.running_below(df, "v", "m").collect()}
+    assert got == {v: sum(x < v for x in values) for v in set(values)}
+    assert audit.running_below(df.where("false"), "v", "m").count() == 0
+    assert audit.auc_logloss(spark.createDataFrame([(1, 0.5)], "y int, p double"), "y", "p").first()["auc"] is None
+
+
+def test_frequency_counts_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 1), (None, 1)], "k string, v int")
+    assert sorted(r["n"] for r in audit.frequency(df, ["k"], F.col("v") == 1, "n").collect()) == [1, 1, 2, 2]

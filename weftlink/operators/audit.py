@@ -18,8 +18,11 @@ def empty_rates(rows: DataFrame, by: str, cols: list[str]) -> DataFrame:
 
 
 def frequency(rows: DataFrame, keys: list[str], when, name: str) -> DataFrame:
-    """A4: rows with the number of rows of the same keys for which ``when`` holds."""
-    return rows.withColumn(name, F.sum(F.when(when, 1).otherwise(0)).over(Window.partitionBy(*keys)))
+    """A4: rows with the number of rows of the same keys (null is a key) for which ``when``
+    holds: summed first and joined back, so a key with a third of all rows is split."""
+    n = rows.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.sum(F.when(when, 1).otherwise(0)).alias(name))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return rows.join(n, same).select(*rows.columns, name)
 
 
 def capped_histogram(rows: DataFrame, value: str, cap: int = 10) -> DataFrame:
@@ -27,14 +30,31 @@ def capped_histogram(rows: DataFrame, value: str, cap: int = 10) -> DataFrame:
     return rows.groupBy(F.least(F.col(value), F.lit(cap)).alias("bucket")).agg(F.count("*").alias("n"))
 
 
+#: Ranges that a running count is cut into.
+RANGES = 64
+
+
+def running_below(values: DataFrame, value: str, count: str) -> DataFrame:
+    """Rows of distinct numbers and their counts, with ``below``: the count of all smaller
+    ones. The numbers are cut into ranges at approximate quantiles; each range is ordered
+    by a task of its own, and the totals before it (one row a range) are added."""
+    cuts = sorted(set(values.approxQuantile(value, [k / RANGES for k in range(1, RANGES)], 0.002)))
+    at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x <= F.col(value))) if cuts else F.lit(0)
+    v = values.withColumn("__b", at)
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sums = v.groupBy("__b").agg(F.sum(count).alias("__s"))
+    sums = sums.select("__b", F.coalesce(F.sum("__s").over(before(Window.orderBy("__b"))), F.lit(0)).alias("__pre"))
+    own = F.coalesce(F.sum(count).over(before(Window.partitionBy("__b").orderBy(value))), F.lit(0))
+    return v.join(F.broadcast(sums), "__b").withColumn("below", F.col("__pre") + own).drop("__b", "__pre")
+
+
 def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
     """A10: correlation of average ranks; null under three rows. Ranks come from counts of
-    the distinct values, so the ordering window holds one row a value."""
+    the distinct values."""
     r = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     for c in ("x", "y"):
-        d = r.groupBy(c).agg(F.count("*").alias("m"))
-        below = F.coalesce(F.sum("m").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        r = r.join(d.select(c, (below + (F.col("m") + 1) / 2.0).alias(f"r{c}")), c)
+        d = running_below(r.groupBy(c).agg(F.count("*").alias("m")), c, "m")
+        r = r.join(d.select(c, (F.col("below") + (F.col("m") + 1) / 2.0).alias(f"r{c}")), c)
     return r.agg(F.when(F.count("*") >= 3, F.round(F.corr("rx", "ry"), 6)).alias("spearman"), F.count("*").alias("n"))
 
 
@@ -42,9 +62,8 @@ def auc_logloss(rows: DataFrame, label: str, p: str) -> DataFrame:
     """Exact area under the curve by average ranks of the distinct scores, and log loss
     with p clipped; null with one class only."""
     c = F.least(F.greatest(F.col(p), F.lit(1e-7)), F.lit(1 - 1e-7))
-    d = rows.groupBy(F.col(p).alias("p")).agg(F.sum(label).alias("pos"), F.count("*").alias("m"), F.sum(F.when(F.col(label) == 1, -F.ln(c)).otherwise(-F.ln(1 - c))).alias("loss"))
-    below = F.coalesce(F.sum("m").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    d = d.withColumn("rank", below + (F.col("m") + 1) / 2.0)
+    d = rows.groupBy(F.col(p).cast("double").alias("p")).agg(F.sum(label).alias("pos"), F.count("*").alias("m"), F.sum(F.when(F.col(label) == 1, -F.ln(c)).otherwise(-F.ln(1 - c))).alias("loss"))
+    d = running_below(d, "p", "m").withColumn("rank", F.col("below") + (F.col("m") + 1) / 2.0)
     pos, n = F.sum("pos"), F.sum("m")
     both = (pos > 0) & (pos < n)
     auc = (F.sum(F.col("rank") * F.col("pos")) - pos * (pos + 1) / 2.0) / F.nullif(pos * (n - pos), F.lit(0))

@@ -20,7 +20,9 @@ def exact_knn(base: DataFrame, queries: DataFrame, k: int, group: str, block: in
     hash of the id; a pair of blocks is one product, and each task keeps k a query, so no
     task holds a whole group. base, queries: (id, group, vec). Groups with an empty side
     give nothing."""
-    cut = lambda df: df.select(F.col(group).alias("g"), "id", "vec", F.pmod(F.xxhash64("id"), F.ceil(F.count("*").over(Window.partitionBy(group)) / block)).alias("blk"))
+    def cut(df: DataFrame) -> DataFrame:
+        n = df.groupBy(F.col(group).alias("g")).agg(F.ceil(F.count("*") / block).alias("blocks"))
+        return df.join(n, F.col(group) == F.col("g")).select("g", "id", "vec", F.pmod(F.xxhash64("id"), "blocks").alias("blk"))
 
     def packed(df: DataFrame, p: str) -> DataFrame:
         b = cut(df).groupBy("g", "blk").agg(F.array_sort(F.collect_list(F.struct("id", "vec"))).alias("x"))
