@@ -259,6 +259,22 @@ def test_mixing_targets_and_rounding(spark, monkeypatch):
     assert ids.count(3) == 2 and None in ids and 2**62 + 1 in ids
 
 
+def test_mixing_spreads_one_repeated_id(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAF", 16)
+    monkeypatch.setattr(mixing, "COPIES", 50)
+    texts = [(7, "a b c")] * 330 + [(None, "a b")] * 120 + [(i, "w " * (i % 9)) for i in range(100, 650)]
+    sources = ["hot"] * 450 + ["b", "c"] * 275
+    d = docs(spark, texts, sources)
+    got = mixing.mix(d).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in texts)
+    check_mix(got, texts, sources)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(d.repartition(5)).collect()))
+    # no group holds the whole of it
+    each = mixing._each(spark.createDataFrame([(7, "hot", 3, 330)], "id long, source string, size long, m long"))
+    keys = [r["key"] % (330 // 16) for r in each.collect()]
+    assert len(keys) == 330 and max(Counter(keys).values()) < 48
+
+
 def test_pivot_keeps_words_and_expectation():
     size, x0 = np.array([5.0, 3, 8, 1, 1, 2]), np.array([0.3, 0.5, 0.25, 0.9, 0.1, 0.6])
     mean, r = np.zeros(6), np.random.default_rng(0)

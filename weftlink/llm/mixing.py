@@ -13,6 +13,8 @@ LEAF = 2048
 FAN = 16
 REPEATS = 3
 SEED = 11
+#: Equal rows that one task spreads out again.
+COPIES = 65536
 
 
 def word_count(text) -> F.Column:
@@ -92,6 +94,19 @@ def _level(depth: int, last: bool):
     return rounded
 
 
+def _each(counted: DataFrame) -> DataFrame:
+    """(id, source, size, m) of ``m`` equal rows -> a row for each, with its number and a
+    ``key`` of its own. More than ``COPIES`` equal rows are shared out among tasks first."""
+    m = F.col("m")
+    few = counted.where(m <= COPIES).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), m)))
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((m - 1) / COPIES))
+    many = counted.where(m > COPIES).withColumn("part", F.explode(parts)).repartition("id", "source", "size", "part")
+    first = F.col("part") * COPIES
+    many = many.withColumn("copy", F.explode(F.sequence(first + 1, F.least(m, first + COPIES))))
+    key = F.xxhash64("id", F.lit(SEED), "size", "copy").alias("key")
+    return few.unionByName(many.drop("part")).select("id", "source", "size", key)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, size, source_size, target, copies, taken) for every row of ``docs``.
 
@@ -100,21 +115,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     words within groups of about 2048 documents of a source, whose single residual
     rows meet in the next level of a 16-way reduction tree until one is left. So a
     source's taken words miss its target by part of one document. Group membership
-    and draws come from hashes of the id, so reruns agree. Null texts and texts
-    without words have size 0, and take nothing; a null source is a source of its
-    own; a null id hashes as such; repeated rows are rows of their own, and equal
-    ones may change places. Other columns are ignored; an empty table gives none."""
-    key = F.xxhash64(F.col(id_col), F.lit(SEED))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
-    rows = staged(rows, "mix-sizes")
-    stats = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
+    and draws come from hashes of the id, the size and the number among equal rows, so
+    reruns agree and an id that a third of all rows share fills no group. Null texts
+    and texts without words have size 0, and take nothing; a null source is a source
+    of its own; a null id hashes as such; repeated rows are rows of their own, and
+    equal ones may change places. Other columns are ignored; an empty table gives none."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    counted = staged(rows.groupBy("id", "source", "size").agg(F.count("*").alias("m")), "mix-sizes")
+    stats = counted.groupBy("source").agg(F.sum("m").alias("n"), F.sum(F.col("size") * F.col("m")).alias("source_size"))
     targets = staged(source_targets(stats), "mix-targets")
     leaves = F.greatest(F.lit(1), F.ceil(F.col("n") / LEAF)).cast("long")
     depth = F.ceil(F.log(float(FAN), leaves.cast("double")) - 1e-9).cast("int")
     t = targets.select(F.col("source").alias("s"), "source_size", "target", leaves.alias("leaves"), F.greatest(F.lit(0), depth).alias("depth"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("p"))
     most = t.agg(F.max("depth")).first()[0] or 0
     p = F.when(F.col("size") > 0, F.least(F.col("p"), F.lit(float(REPEATS)))).otherwise(0.0)
-    r = rows.join(t, F.col("source").eqNullSafe(F.col("s"))).withColumn("sure", F.floor(p).cast("long")).withColumn("x", p - F.floor(p))
+    r = _each(counted).join(t, F.col("source").eqNullSafe(F.col("s"))).withColumn("sure", F.floor(p).cast("long")).withColumn("x", p - F.floor(p))
     r = r.select(F.col("id").cast("string").alias("id"), "source", "size", "key", "source_size", "target", "sure", "x", F.pmod("key", "leaves").alias("node"), F.lit(False).alias("open"))
     schema = r.schema
     done, level = [], r
