@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from weftlink import config, plans, sources
 from weftlink.functions import normalize as N
 from weftlink.functions import similarity as S
-from weftlink.operators import audit, blocking, context, decide, features, linking
+from weftlink.operators import audit, blocking, context, decide, features, linking, rerank
 from weftlink.sources import synthetic
 
 SF = "/root/testdata/sf0.001"
@@ -202,3 +202,55 @@ def test_running_counts(spark):
 def test_frequency_counts_null_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 1), (None, 1)], "k string, v int")
     assert sorted(r["n"] for r in audit.frequency(df, ["k"], F.col("v") == 1, "n").collect()) == [1, 1, 2, 2]
+
+
+def test_training_pairs_golden(spark):
+    nan = float("nan")
+    p = spark.createDataFrame([(1, 1, 0.9, True), (1, 2, nan, False), (1, 3, 0.1, False), (2, 1, 0.5, True), (3, 1, 0.6, False), (4, 1, nan, False), (4, 9, 0.9, True)], "i long, j long, p1 double, pruned boolean")
+    s = spark.createDataFrame([(1,), (1,)], "i long")
+    got = {(r["i"], r["j"], r["in_pruned"], r["lw_ok"]) for r in rerank.training_pairs(p, s, first=2).collect()}
+    assert got == {(1, 1, 1, 1), (1, 3, 0, 1), (3, 1, 0, 0)}
+    assert rerank.training_pairs(p, s, first=3, rivals=0).count() == 3
+    assert rerank.training_pairs(p.where("false"), s).count() == 0
+
+
+def test_scoring_halves_batches_and_drops_nothing(spark):
+    seen = []
+
+    def scorer(a, b):
+        if len(a) > 3:
+            raise MemoryError
+        seen.append(len(a))
+        return [float(len(x)) if x != "b" else float("inf") for x in a]
+
+    a = ["a" * (k % 5) for k in range(20)] + ["b"]
+    assert rerank.in_batches(scorer, a, [""] * 21, 16).tolist() == [*map(len, a[:-1]), 0.0] and max(seen) <= 3
+    with pytest.raises(MemoryError):
+        rerank.in_batches(lambda a, b: (_ for _ in ()).throw(MemoryError()), ["x"], ["y"], 4)
+    with pytest.raises(RuntimeError):
+        rerank.merge_scores({0: spark.range(1).toDF("i"), 1: None})
+
+
+def test_features_must_cover_the_pairs(spark):
+    p = spark.createDataFrame([(1, 1), (1, 2)], "i int, j int")
+    f = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.1), (2, 2, 0.3)], "i int, j int, x double")
+    assert rerank.attach_features(p, f).count() == 2
+    for bad in (f.where("j = 1"), f.unionByName(f)):
+        with pytest.raises(RuntimeError):
+            rerank.attach_features(p, bad)
+
+
+def test_pair_store_prunes_and_pushes(spark, tmp_path):
+    p = spark.range(200).selectExpr("id % 20 AS i", "id AS j", "CAST(id % 4 AS INT) AS fold", "CAST(id % 2 AS TINYINT) AS in_pruned", "rand(1) AS x")
+    sources.write_pairs(p, str(tmp_path / "p"))
+    got = sources.read_pairs(spark, str(tmp_path / "p"), ["i", "j"], [1, 3], True)
+    assert got.count() == 100 and got.columns == ["i", "j"]
+    plan = got._jdf.queryExecution().toString()
+    assert "EqualTo(in_pruned,1)" in plan and "In(fold, [1,3])" in plan
+    with pytest.raises(FileNotFoundError, match="nothing"):
+        sources.require(spark, [str(tmp_path), str(tmp_path / "nothing")])
+    for n in ("a.zip", "b.zip"):
+        sources.package({"y": b"2", "x": b"1"}, str(tmp_path / n))
+    assert (tmp_path / "a.zip").read_bytes() == (tmp_path / "b.zip").read_bytes()
+    h = spark.createDataFrame([("a",), ("b",)], "t string").select(rerank.hashed(F.col("t"), 8).alias("h")).collect()
+    assert all(0 <= r["h"] < 256 for r in h)

@@ -6,9 +6,9 @@ words for tokens, equal texts for the truth), order lines for scored pairs."""
 
 from __future__ import annotations
 
-from . import audits, linkage, pairs, texts
+from . import audits, linkage, pairs, rerank, texts
 
-PARTS = (linkage, pairs, audits, texts)
+PARTS = (linkage, pairs, rerank, audits, texts)
 
 
 def queries() -> dict:
