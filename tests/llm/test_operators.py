@@ -435,6 +435,15 @@ def test_simhash_matches_brute_force(spark):
     assert simhash.near_duplicates(docs(spark, []).where("false")).count() == 0
 
 
+def test_simhash_spreads_common_fingerprints(spark, monkeypatch):
+    """With every fingerprint common, and with none, the rows are the same."""
+    texts = near_texts() + [(k, "one and the same text") for k in range(2000, 2300)] + [(None, "one and the same text")] * 40
+    for few in (10**9, 1):
+        monkeypatch.setattr(simhash, "HOT", few)
+        got = simhash.near_duplicates(docs(spark, texts).repartition(3)).select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")), "component_id")
+        check_simhash([tuple(r) for r in got.collect()], texts)
+
+
 def test_simhash_links_are_exact(spark):
     r = np.random.default_rng(5)
     base = r.integers(-(2**63), 2**63, 40)

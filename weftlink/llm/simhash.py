@@ -16,6 +16,10 @@ from .components import components
 LOW = 0x5555555555555555
 SHINGLE = 3
 MAX_BITS = 3
+#: A fingerprint with more than one in HOT of all rows is spread over SALTS join keys;
+#: there are fewer than HOT of these.
+HOT = 1000
+SALTS = 64
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -79,17 +83,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Fingerprints link at 3 or fewer differing bits; component_id is the smallest
     id reachable. Equal fingerprints collapse to one node first, so copies never
-    meet in pairs. Null ids stay as rows and count for no minimum (a component of
+    meet in pairs; the rows of a common fingerprint find its component under many
+    join keys, so a third of all rows is no task's work. Null ids stay as rows and count for no minimum (a component of
     null ids only has a null component_id); repeated rows each give a row; an empty
     table gives none; other columns are ignored."""
-    fps = staged(docs.select(F.col(id_col).alias("id"), fingerprint_udf(F.col(text_col)).alias("fp")), "simhash")
-    nodes = staged(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    fps = staged(docs.select(F.col(id_col).alias("id"), fingerprint_udf(F.col(text_col)).alias("fp"), salt.alias("salt")), "simhash")
+    nodes = staged(fps.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-nodes")
     roots = components(staged(links(nodes), "simhash-links"))
     linked = nodes.join(roots, nodes.fp == roots.node)
     ids = linked.groupBy("root").agg(F.min("least").alias("component"))
     far = linked.join(ids, "root").select("node", "component")
-    of = nodes.join(far, nodes.fp == far.node, "left").select(F.col("fp").alias("f"), F.coalesce("component", "least").alias("component_id"))
-    return fps.join(of, fps.fp == of.f).select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
+    hot = F.col("n") * HOT > (nodes.agg(F.sum("n")).first()[0] or 0)
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    of = nodes.join(far, nodes.fp == far.node, "left").select(F.col("fp").alias("f"), F.coalesce("component", "least").alias("component_id"), F.explode(salts).alias("s"))
+    common = F.broadcast(nodes.where(hot).select(F.col("fp").alias("common")))
+    spread = fps.join(common, F.col("fp") == F.col("common"), "left").select("id", "fp", F.when(F.col("common").isNotNull(), F.col("salt")).otherwise(0).alias("salt"))
+    found = spread.join(of, (F.col("fp") == F.col("f")) & (F.col("salt") == F.col("s")))
+    return found.select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
 
 
 def hex_fingerprint(fp) -> F.Column:
