@@ -18,8 +18,9 @@ from .common import staged, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Sketch rows up to which the probe side is broadcast (some 100 bytes a row).
+#: Sketch rows, and bytes of their shingles, up to which the probe side is broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def _tokens(text) -> F.Column:
@@ -59,12 +60,12 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     ranked = F.array_sort(F.transform("grams", lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
     sketch = sets.select("item", "len", F.explode(F.slice(ranked, F.lit(1), total - need + 1)).alias("s")).select("item", "len", F.col("s.g").alias("key"))
     sketch = staged(sketch, "sketch")
-    lengths, rows = sketch.agg(F.collect_set("len"), F.count("*")).first()
+    lengths, rows, held = sketch.agg(F.collect_set("len"), F.count("*"), F.sum(F.octet_length("key"))).first()
     if not rows:
         ids = docs.select(F.col(id_col), F.lit(None).cast(items.schema[item_col].dataType).alias("item_id"))
         return ids.where("false").select(id_col, "item_id", F.lit(0).alias("matched"), F.lit(0).alias("total"), F.lit(0.0).alias("containment"))
     keys = sketch.select("item", "key")
-    keys = F.broadcast(keys) if rows <= BROADCAST_ROWS else keys
+    keys = F.broadcast(keys) if rows <= BROADCAST_ROWS and held <= BROADCAST_BYTES else keys
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     t = texts.select("id", _tokens(F.col("text")).alias("t"))
     probe = [_grams(F.col("t"), n) for n in sorted(lengths)]
