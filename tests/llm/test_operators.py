@@ -128,8 +128,9 @@ def test_decontamination_matches_brute_force(spark):
     assert {r[0] for r in kept.select("doc_id").collect()} == {i for i, _ in texts} - {g[0] for g in got}
 
 
-def test_decontamination_shuffled_keys(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
+def test_decontamination_shuffled_keys(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontaminate, bound, 0)
     texts = [(1, "a b c d e f g"), (2, "x " + "a b c d e f g"), (3, "a b c")]
     got = decontaminate.contamination(docs(spark, texts), spark.createDataFrame([(9, "a b c d e f g")], "item_id long, text string"))
     assert {r["doc_id"] for r in got.collect()} == {1, 2}
@@ -186,6 +187,26 @@ def test_html_main_text():
     assert htmltext.main_text("<article><p>cut <b") == "cut"
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>x</title><p>one", "one"),
+        ("<div class='wrap has-sidebar'><main><p>one</main><div id=sidebar>two</div></div>", "one"),
+        ("<article><p>one</article><article class='comment-body'><p>two two two</article>", "one"),
+        ("<div><p>one, one one one one</div><div class='commentList'>two</div><div id=cookieBanner>three</div>", "one, one one one one"),
+        ("<!--><p>one</p><!-- two -->", "one"),
+        ("a<b>b</i>c</b><li>x<li>y<ul><li>z</ul>", "abc\n\nx\n\ny\n\nz"),
+    ],
+)
+def test_html_malformed(page, want):
+    assert htmltext.main_text(page) == want
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000, "<b>" * 50_000 + "</i>" * 50_000, "<p><b>" * 30_000, "<ul><li>" * 30_000, "<article>" * 30_000])
+def test_html_deep(page):
+    assert htmltext.main_text(page + "x") == "x"
+
+
 def test_html_density_without_article():
     para = "<p>" + "some words of the story go on and on, " * 8 + "</p>"
     menu = "".join(f'<li><a href="/{i}">link {i}</a></li>' for i in range(30))

@@ -5,13 +5,14 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
 #: Fixed tag sets of HTML.
 RAW = {"script", "style", "textarea", "title", "xmp", "noscript", "iframe", "noembed", "noframes", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -21,6 +22,12 @@ OUT = {"aside", "button", "canvas", "dialog", "fieldset", "footer", "form", "hea
 OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog", "toolbar"}
 OUT_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promo(?:tion)?s?|banner|nav(?:bar|igation)?|menu|header|footer|sidebar|side|breadcrumbs?|cookies?|consent|gdpr|notice|notices|popup|modal|overlay|subscribe|newsletter|signup|login|share|sharing|social|related|recommended|comments?|commentlist|disqus|respond|replies|reply|widget|toolbar|pagination|pager|masthead|skip|hidden|legal)(?:$|[\s_-])", re.I)
 ATTR = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+)))?""")
+#: What a head can hold.
+METADATA = {"base", "head", "link", "meta", "noscript", "script", "style", "template", "title"}
+#: An article element that is a reader's comment.
+COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies)(?:[_-](?:body|item|entry|text|content|\d+))*(?:$|\s)", re.I)
+#: Where a name in camel case parts.
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Elements that an opening tag closes, up to the given boundaries.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "thead": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
 
@@ -38,14 +45,15 @@ class Node:
 def _boilerplate(tag: str, attrs: str) -> bool:
     if tag in OUT:
         return True
-    if not attrs or tag in ("html", "body", "article", "main"):
+    if not attrs or tag in ("html", "body", "main"):
         return False
+    names = COMMENT if tag == "article" else OUT_NAMES
     low = attrs.lower()
     if not ("class" in low or "id" in low or "role" in low or "hidden" in low or "style" in low):
         return False
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "role" and value.lower().strip() in OUT_ROLES or name in ("class", "id") and OUT_NAMES.search(value):
+        if name == "role" and value.lower().strip() in OUT_ROLES or name in ("class", "id") and (names.search(value) or names.search(CAMEL.sub("-", value))):
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
@@ -56,16 +64,27 @@ def parse(page: str) -> Node:
     """A tree of elements; strings among the children are texts, with character
     references decoded. Comments, scripts and other raw content are left out; open
     elements end as HTML has it (a block ends a paragraph; list items, rows and cells
-    end their like)."""
+    end their like; what is no metadata ends the head). How many elements of each tag
+    are open is kept, so an end tag without its start costs no walk up the tree."""
     root = Node("html", None, False)
     at, pos, n = root, 0, len(page)
+    opened: Counter = Counter()
+
+    def closed(at: Node, to: Node) -> Node:
+        while at is not to:
+            opened[at.tag] -= 1
+            at = at.parent
+        return to
+
     while pos < n:
         m = TOKEN.search(page, pos)
+        text = page[pos : m.start() if m else n]
+        if text:
+            if opened["head"] and at.tag == "head" and text.strip():
+                at = closed(at, at.parent)
+            at.kids.append(html.unescape(text))
         if m is None:
-            at.kids.append(html.unescape(page[pos:]))
             break
-        if m.start() > pos:
-            at.kids.append(html.unescape(page[pos : m.start()]))
         pos = m.end()
         tag = m[2]
         if tag is None:
@@ -74,39 +93,48 @@ def parse(page: str) -> Node:
             break  # the page ends within a tag
         tag = tag.lower()
         if m[1]:
-            up = at
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                at = up.parent
+            if opened[tag]:
+                up = at
+                while up.tag != tag:
+                    up = up.parent
+                if up is not root:
+                    at = closed(at, up.parent)
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in _path(at)):
+        if tag == "html" or tag == "body" and opened["body"]:
             continue
-        if tag in BLOCK:
+        if opened["head"] and tag not in METADATA:
+            up = at
+            while up.tag != "head":
+                up = up.parent
+            at = closed(at, up.parent)
+        if tag in BLOCK and opened["p"]:
             up = at
             while up is not root and up.tag != "p" and up.tag not in ("button", "td", "th", "caption", "table"):
                 up = up.parent
             if up.tag == "p":
-                at = up.parent
-        if tag in CLOSES:
+                at = closed(at, up.parent)
+        if tag in CLOSES and any(opened[x] for x in CLOSES[tag][0]):
             ends, stops = CLOSES[tag]
-            up = at
+            up, to = at, at
             while up is not root and up.tag not in stops:
                 if up.tag in ends:
-                    at = up.parent
+                    to = up.parent
                 up = up.parent
+            at = closed(at, to)
         if tag == "body":
-            while at is not root:
-                at = at.parent
+            at = closed(at, root)
         node = Node(tag, at, _boilerplate(tag, m[3]))
+        if tag == "main":
+            # a wrapper named for its layout ("has-sidebar") is no sidebar
+            for x in _path(at):
+                x.out = x.out and x.tag in OUT
         at.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = end.end() if end else n
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            at = node
-        elif tag not in VOID and tag in BLOCK:
-            at = node  # a slash does not close an HTML element
+        elif tag not in VOID and (tag in BLOCK or not m[3].rstrip().endswith("/")):
+            at = node  # a slash does not close a block
+            opened[tag] += 1
     return root
 
 
@@ -166,7 +194,7 @@ def regions(root: Node) -> list[Node]:
     inside = [x for x in _order(body) if x.chars]
     if not inside:
         return []
-    semantic = [x for x in inside if x.tag in ("article", "main") and not any(y.tag in ("article", "main") for y in list(_path(x))[1:])]
+    semantic = [x for x in inside if x.tag in ("article", "main") and not any(y.tag in ("article", "main") for y in _path(x.parent))]
     if semantic:
         # what the author marks as the article is kept whole
         best = max(semantic, key=lambda x: (max(y.total for y in _order(x)), x.chars))
