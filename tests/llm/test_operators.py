@@ -128,6 +128,13 @@ def test_decontamination_matches_brute_force(spark):
     assert {r[0] for r in kept.select("doc_id").collect()} == {i for i, _ in texts} - {g[0] for g in got}
 
 
+def test_decontamination_drops_only_rows_that_hold_an_item(spark):
+    leak = "x a b c d e f g y"
+    d = docs(spark, [(None, leak), (None, "clean one"), (None, None), (7, leak), (7, "clean two"), (7, "clean two"), (8, leak), (8, leak), (9, "")])
+    kept = decontaminate.drop_contaminated(d, spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string"))
+    assert rows(kept, "doc_id", "text") == sorted([(None, "clean one"), (None, None), (7, "clean two"), (7, "clean two"), (9, "")], key=str)
+
+
 @pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
 def test_decontamination_shuffled_keys(spark, monkeypatch, bound):
     monkeypatch.setattr(decontaminate, bound, 0)

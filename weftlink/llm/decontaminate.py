@@ -43,16 +43,9 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str, size: int = SHIN
     return t.select("item", n.alias("len"), grams.alias("grams"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(id, item_id, matched, total, containment) for every document that holds at
-    least ``threshold`` of an item's distinct word shingles (lower-cased words
-    between ASCII white space).
-
-    Null texts and texts without words hold nothing. Repeated items (same id and
-    text) count once; repeated documents (same id and text) give one row a pair;
-    rows that share an id but not the text are searched one by one and the best
-    containment is given. Documents with a null id are searched, too, and joined
-    null-safely. Empty tables give no rows; other columns are ignored."""
+def _verified(docs: DataFrame, items: DataFrame, threshold: float, size: int, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame | None:
+    """(id, key, item, total, matched) of every candidate pair of a row's text and an item,
+    counted on the texts; ``key`` is a hash of the row's text. None without items."""
     sets = staged(item_shingles(items, item_col, item_text, size), "items")
     total = F.size("grams")
     # ceil with slack, else 0.8 * 5 in floating point could ask for one shingle too many
@@ -62,32 +55,55 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     sketch = staged(sketch, "sketch")
     lengths, rows, held = sketch.agg(F.collect_set("len"), F.count("*"), F.sum(F.octet_length("key"))).first()
     if not rows:
-        ids = docs.select(F.col(id_col), F.lit(None).cast(items.schema[item_col].dataType).alias("item_id"))
-        return ids.where("false").select(id_col, "item_id", F.lit(0).alias("matched"), F.lit(0).alias("total"), F.lit(0.0).alias("containment"))
-    keys = sketch.select("item", "key")
+        return None
+    keys = sketch.select("item", F.col("key").alias("shingle"))
     keys = F.broadcast(keys) if rows <= BROADCAST_ROWS and held <= BROADCAST_BYTES else keys
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    t = texts.select("id", _tokens(F.col("text")).alias("t"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    t = texts.select("id", "key", _tokens(F.col("text")).alias("t"))
     probe = [_grams(F.col("t"), n) for n in sorted(lengths)]
-    hits = t.select("id", F.explode(F.flatten(F.array(*probe)) if len(probe) > 1 else probe[0]).alias("g")).join(keys, F.col("g") == F.col("key")).select("id", "item").distinct()
-    pairs = staged(hits, "candidates")
+    hits = t.select("id", "key", F.explode(F.flatten(F.array(*probe)) if len(probe) > 1 else probe[0]).alias("g")).join(keys, F.col("g") == F.col("shingle")).select("id", "key", "item").distinct()
+    pairs = staged(hits, "candidates").select(F.col("id").alias("pid"), F.col("key").alias("pkey"), "item")
     # exact: the candidates' texts once more, against the whole shingle set of the item
-    held = texts.join(pairs.withColumnRenamed("id", "pid"), F.col("id").eqNullSafe(F.col("pid")))
+    held = texts.join(pairs, F.col("id").eqNullSafe(F.col("pid")) & (F.col("key") == F.col("pkey")))
     held = held.join(sets.select(F.col("item").alias("sitem"), "len", "grams"), F.col("item").eqNullSafe(F.col("sitem")))
-    held = held.select("id", "item", "len", "grams", _tokens(F.col("text")).alias("t"))
+    held = held.select("id", "key", "item", "len", "grams", _tokens(F.col("text")).alias("t"))
     own = F.lit(None).cast("array<string>")
     for n in sorted(lengths):
         own = F.when(F.col("len") == n, _grams(F.col("t"), n)).otherwise(own)
-    held = held.select("id", "item", F.size("grams").alias("total"), F.size(F.array_intersect("grams", own)).alias("matched"))
+    return held.select("id", "key", "item", F.size("grams").alias("total"), F.size(F.array_intersect("grams", own)).alias("matched"))
+
+
+def _best(held: DataFrame, threshold: float, *by: str) -> DataFrame:
+    """The best containment ``s`` (c, m, t) of each group, of those that reach the threshold."""
     share = F.col("matched") / F.col("total")
-    best = held.groupBy("id", "item").agg(F.max(F.struct(share.alias("c"), F.col("matched").alias("m"), F.col("total").alias("t"))).alias("s"))
+    best = held.groupBy(*by).agg(F.max(F.struct(share.alias("c"), F.col("matched").alias("m"), F.col("total").alias("t"))).alias("s"))
     # filtered after the aggregate: pushed below it, the predicate would split each text again for every shingle
-    best = best.where(F.col("s.m") >= F.ceil(F.col("s.t") * F.lit(threshold) - F.lit(1e-9)))
+    return best.where(F.col("s.m") >= F.ceil(F.col("s.t") * F.lit(threshold) - F.lit(1e-9)))
+
+
+def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(id, item_id, matched, total, containment) for every document that holds at
+    least ``threshold`` of an item's distinct word shingles (lower-cased words
+    between ASCII white space).
+
+    Null texts and texts without words hold nothing. Repeated items (same id and
+    text) count once; repeated documents (same id and text) give one row a pair;
+    rows that share an id but not the text are searched one by one and the best
+    containment is given. Documents with a null id are searched, too, and joined
+    null-safely. Empty tables give no rows; other columns are ignored."""
+    held = _verified(docs, items, threshold, size, id_col, text_col, item_col, item_text)
+    if held is None:
+        ids = docs.select(F.col(id_col), F.lit(None).cast(items.schema[item_col].dataType).alias("item_id"))
+        return ids.where("false").select(id_col, "item_id", F.lit(0).alias("matched"), F.lit(0).alias("total"), F.lit(0.0).alias("containment"))
+    best = _best(held, threshold, "id", "item")
     return best.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), F.col("s.m").alias("matched"), F.col("s.t").alias("total"), F.col("s.c").alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns. Rows that share
-    an id (null included) go together."""
-    bad = staged(contamination(docs, items, threshold, id_col=id_col, text_col=text_col).select(F.col(id_col).alias("__bad")).distinct(), "leaks")
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    """The rows of ``docs`` whose own text holds no item, with all their columns. Rows that
+    share an id (null included) but not the text are decided one by one."""
+    held = _verified(docs, items, threshold, SHINGLE, id_col, text_col, "item_id", "text")
+    if held is None:
+        return docs
+    bad = staged(_best(held, threshold, "id", "key", "item").select(F.col("id").alias("__bad"), F.col("key").alias("__key")).distinct(), "leaks")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")) & (F.xxhash64(text_col) == F.col("__key")), "left_anti")
