@@ -498,6 +498,13 @@ def test_simhash_drop_keeps_one_of_each(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_simhash_drop_keeps_one_row_of_each_component(spark):
+    a, b, c, e = (" ".join(words(60, k)) for k in (1, 2, 3, 4))
+    d = docs(spark, [(3, a), (5, a), (5, b), (5, b), (5, c), (None, c), (None, e), (None, e), (None, None), (6, e + " ")])
+    want = [(3, a), (5, b), (5, c), (6, e + " "), (None, None)]
+    assert rows(simhash.drop_near_duplicates(d.repartition(3)), "doc_id", "text") == sorted(want, key=str)
+
+
 # pipeline
 
 

@@ -6,7 +6,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -108,16 +108,15 @@ def hex_fingerprint(fp) -> F.Column:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component stays, with all columns of ``docs``: that of the
-    smallest id. Rows that share an id fall into one: among them the text with the
-    smallest hash stays. Rows with a null id have no identity: of those, one stays
-    for each fingerprint whose component holds no id at all."""
-    near = staged(near_duplicates(docs, id_col, text_col), "simhash-groups")
-    ids = near.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__keep")).distinct()
-    known = docs.where(F.col(id_col).isNotNull()).join(ids, F.col(id_col) == F.col("__keep"), "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), F.col(text_col))
-    known = known.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
-    loose = near.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias("__keep")).distinct()
-    bare = docs.where(F.col(id_col).isNull()).withColumn("__fp", fingerprint_udf(F.col(text_col))).join(loose, F.col("__fp") == F.col("__keep"), "left_semi")
-    first = Window.partitionBy("__fp").orderBy(F.xxhash64(text_col), F.col(text_col))
-    return known.unionByName(bare.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns))
+    """One row of each component stays, with all columns of ``docs``: that of the smallest
+    id (null last), and of several texts of that id in the component the one with the
+    smallest hash. Rows that share an id but no component stay apart."""
+    row = F.struct(F.col(id_col).isNull().alias("bare"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"))
+    fps = docs.select(fingerprint_udf(F.col(text_col)).alias("fp"), row.alias("row"))
+    nodes = staged(fps.groupBy("fp").agg(F.min("row").alias("row")), "simhash-nodes")
+    roots = components(staged(links(nodes), "simhash-links"))
+    of = nodes.join(roots, nodes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("row").alias("row"))
+    keep = staged(of.select(F.col("row.id").alias("__keep"), F.col("row.key").alias("__of")), "simhash-keep")
+    one = docs.withColumn("__key", F.xxhash64(text_col)).join(keep, F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__key") == F.col("__of")), "left_semi")
+    # repeated rows of the kept id and text are one
+    return one.dropDuplicates([id_col, "__key"]).select(*docs.columns)
