@@ -189,6 +189,18 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(str([text(v) for v in x]) for x in df.select(*cols).collect()) == sorted(str([text(v) for v in x]) for x in r.fetchall())
 
 
+def test_whole_blocking_keeps_frequent_tokens(spark, tmp_path):
+    texts = [" ".join(c) for c in itertools.combinations("w0 w1 w2 w3 w4 w5 w6 w7".split(), 5)]
+    docs = [(3 * k + side, t, "en", "s") for k, t in enumerate(texts) for side in (0, 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    q = plans.queries()
+    r = q["recall_report_whole"](spark, str(tmp_path)).first()
+    assert r["recall"] == r["recall_name_s1"] == 1
+    assert q["miss_diagnosis_whole"](spark, str(tmp_path)).first()["unreachable"] == 0
+    assert q["token_df_idf_whole"](spark, str(tmp_path)).where("not alive").count() == 0
+    assert q["recall_report"](spark, str(tmp_path)).first()["recall"] == 0
+
+
 def test_running_counts(spark):
     r = np.random.default_rng(0)
     values = [float(x) for x in r.integers(0, 500, 3000)]
