@@ -222,6 +222,14 @@ def test_html_density_without_article():
     assert got[0] == "Head" and len(got) == 6
 
 
+@pytest.mark.parametrize("wrapper", ['class="has-sidebar"', 'class="content with-sidebar"', 'class="layout-side"', 'id="no-sidebar"'])
+def test_html_layout_wrappers(wrapper):
+    story = "some words of the story go on and on"
+    for text in (f"<article><p>{story}</p></article>", f"<p>{story}</p>"):
+        assert htmltext.main_text(f'<body><div {wrapper}>{text}<div class="sidebar">other things</div></div></body>') == story
+    assert htmltext.main_text(f'<body><article><p>one</p></article><div {wrapper}><p>{story}</p></div></body>') == "one"
+
+
 def test_html_query_keeps_articles(spark):
     import html as h
     import re

@@ -33,31 +33,38 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dd": ({"dd", "dt"}, {"dl
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "out", "wide", "chars", "link", "tags", "links", "density", "total")
+    __slots__ = ("tag", "parent", "kids", "out", "named", "wide", "chars", "link", "tags", "links", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out, self.kids = tag, parent, out, []
+    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False):
+        self.tag, self.parent, self.out, self.named, self.kids = tag, parent, out, named, []
         self.wide = tag in BLOCK
         self.chars = self.link = self.tags = self.links = 0
         self.density = self.total = 0.0
 
 
-def _boilerplate(tag: str, attrs: str) -> bool:
+def _boilerplate(tag: str, attrs: str) -> tuple[bool, bool]:
+    """Whether an element is boilerplate, and whether only a name that a wrapper of the
+    page's text can have, too, says so."""
     if tag in OUT:
-        return True
+        return True, False
     if not attrs or tag in ("html", "body", "main"):
-        return False
+        return False, False
     names = COMMENT if tag == "article" else OUT_NAMES
     low = attrs.lower()
     if not ("class" in low or "id" in low or "role" in low or "hidden" in low or "style" in low):
-        return False
+        return False, False
+    named = comment = False
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "role" and value.lower().strip() in OUT_ROLES or name in ("class", "id") and (names.search(value) or names.search(CAMEL.sub("-", value))):
-            return True
+        if name == "role" and value.lower().strip() in OUT_ROLES:
+            return True, False
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+            return True, False
+        if name in ("class", "id"):
+            parts = CAMEL.sub("-", value)
+            named = named or bool(names.search(value) or names.search(parts))
+            comment = comment or bool(COMMENT.search(value) or COMMENT.search(parts))
+    return named, named and not comment
 
 
 def parse(page: str) -> Node:
@@ -123,7 +130,7 @@ def parse(page: str) -> Node:
             at = closed(at, to)
         if tag == "body":
             at = closed(at, root)
-        node = Node(tag, at, _boilerplate(tag, m[3]))
+        node = Node(tag, at, *_boilerplate(tag, m[3]))
         if tag == "main":
             # a wrapper named for its layout ("has-sidebar") is no sidebar
             for x in _path(at):
@@ -156,6 +163,36 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
+def rescue(root: Node) -> None:
+    """A wrapper named for its layout ("has-sidebar") is no sidebar: while no article or main
+    element is left, the named element that holds over half of the page's text comes back."""
+    every, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if not node.out or node.named:
+            every.append(node)
+            todo += [k for k in node.kids if type(k) is not str]
+    held: dict[int, int] = {}
+    for node in reversed(every):
+        held[id(node)] = sum(len(k.strip()) if type(k) is str else held.get(id(k), 0) for k in node.kids)
+    todo, marked = [root], False
+    while todo and not marked:
+        most = None
+        while todo:
+            for k in todo.pop().kids:
+                if type(k) is str:
+                    continue
+                if not k.out:
+                    marked = marked or k.tag in ("article", "main")
+                    todo.append(k)
+                elif k.named and 2 * held[id(k)] > held[id(root)]:
+                    most = k
+        if most is not None and not marked:
+            most.out = False
+            marked = most.tag in ("article", "main")
+            todo = [most]
+
+
 def weigh(root: Node) -> list[Node]:
     """Composite text density of every node: characters a tag, times the logarithm of the
     same over the share that is not links; and the sum of the children's densities."""
@@ -189,6 +226,7 @@ def regions(root: Node) -> list[Node]:
     """The subtrees to keep: the one with the largest density sum, raised to the article
     or main element around it, and those beside the path from the body to it that reach
     the path's least density (the threshold)."""
+    rescue(root)
     nodes = weigh(root)
     body = next((x for x in nodes if x.tag == "body"), root)
     inside = [x for x in _order(body) if x.chars]
