@@ -230,6 +230,13 @@ def test_html_layout_wrappers(wrapper):
     assert htmltext.main_text(f'<body><article><p>one</p></article><div {wrapper}><p>{story}</p></div></body>') == "one"
 
 
+def test_html_keeps_shorter_marked_parts():
+    para = lambda n: "<p>" + "some words of the story go on and on, " * 8 + f"{n}</p>"
+    menu = "".join(f'<li><a href="/{i}">link {i}</a></li>' for i in range(30))
+    page = f'<body><ul>{menu}</ul><article>{"".join(map(para, range(12)))}</article><div><div><article>{para(12)}{para(13)}</article></div></div><div>{para(14)}</div></body>'
+    assert [x.split()[-1] for x in htmltext.main_text(page).split("\n\n")] == list(map(str, range(15)))
+
+
 def test_html_query_keeps_articles(spark):
     import html as h
     import re

@@ -224,8 +224,8 @@ def weigh(root: Node) -> list[Node]:
 
 def regions(root: Node) -> list[Node]:
     """The subtrees to keep: the one with the largest density sum, raised to the article
-    or main element around it, and those beside the path from the body to it that reach
-    the path's least density (the threshold)."""
+    or main element around it; those beside the path from the body to it, and other
+    article or main elements, that reach the path's least density (the threshold)."""
     rescue(root)
     nodes = weigh(root)
     body = next((x for x in nodes if x.tag == "body"), root)
@@ -236,9 +236,8 @@ def regions(root: Node) -> list[Node]:
     if semantic:
         # what the author marks as the article is kept whole
         best = max(semantic, key=lambda x: (max(y.total for y in _order(x)), x.chars))
-        floor = 0.5 * best.chars
-        return [x for x in semantic if x is best or x.chars >= floor]
-    best = max(inside, key=lambda x: x.total)  # of equals the outermost
+    else:
+        best = max(inside, key=lambda x: x.total)  # of equals the outermost
     path = list(_path(best))
     path = path[: path.index(body) + 1] if body in path else path
     floor = min((x.density for x in path if x.density > 0), default=0.0)
@@ -249,6 +248,8 @@ def regions(root: Node) -> list[Node]:
         for k in x.kids:
             if type(k) is not str and not k.out and k.chars and id(k) not in held and (k.density >= floor or re.fullmatch("h[1-6]", k.tag)):
                 keep.append(k)
+    kept = {id(best), *map(id, keep)}
+    keep += [x for x in semantic if x.density >= floor and not any(id(y) in kept for y in _path(x))]
     order = {id(x): i for i, x in enumerate(nodes)}
     return sorted([best, *keep], key=lambda x: order[id(x)])
 
