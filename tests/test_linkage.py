@@ -121,6 +121,18 @@ def test_expected_f_against_enumeration():
     assert decide.best_size(np.array([0.9, 0.5])) == 1 and len(decide.grid()) == 200
 
 
+def test_grid_scores_equal_select(spark):
+    r = np.random.default_rng(3)
+    p = spark.createDataFrame([(i, j, float(r.integers(1, 20)) / 20, int(r.integers(0, 2))) for i in range(9) for j in range(14) if r.random() < 0.6], "i int, j int, p double, label int")
+    e = spark.createDataFrame([(i, i % 4, i % 2) for i in range(11)], "i int, n_true int, fold int")
+    got = {x["cfg"]: x["f"] for x in decide.grid_scores(e, p, "p").groupBy("cfg").agg(F.sum("f").alias("f")).collect()}
+    assert len(got) == 800
+    for mode, s in itertools.product(("none", "softmax_hard"), (("threshold", 0.5, 0.0), ("two_threshold", 0.6, 0.4), ("expected_f", 0.85, -0.5))):
+        chosen = decide.select(context.exclusive(p, "p", mode), "pe", *s).where("sel")
+        want = decide.per_entity(e, chosen).agg(F.sum("f05")).first()[0]
+        assert math.isclose(got[" ".join(map(str, (mode, *s)))], want)
+
+
 def test_blocking_goldens(spark):
     t = spark.createDataFrame([("g", "name", "w", "a" if k < 2 else "b", k) for k in range(4)], "grp string, view string, tok string, side string, id int")
     s = blocking.idf(t, spark.createDataFrame([("g", 10)], "grp string, n int"), 4).first()

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from weftlink.functions.exprs import f_half, oracle_f_half
 
+from .context import exclusive
+
 MODES = ("none", "softmax", "hard", "softmax_hard")
 
 
@@ -101,6 +103,45 @@ def oracle(entities: DataFrame, pairs: DataFrame) -> DataFrame:
     return e.agg(F.round(F.sum("tp") / F.sum("n_true"), 6).alias("recall"), F.round(F.sum(F.coalesce("c", F.lit(0))) / F.count("*"), 6).alias("pairs_per_s1"), F.round(F.avg(oracle_f_half(F.col("n_true"), F.col("tp"))), 6).alias("oracle_f05"))
 
 
+def grid_scores(entities: DataFrame, pairs: DataFrame, p: str, k: int = 12, modes: tuple[str, ...] = MODES, policies: tuple[str, ...] = ("threshold", "two_threshold", "expected_f")) -> DataFrame:
+    """MX6: (cfg, fold, f, n), parts of the sums of F0.5, of every setting of the grid under
+    each kind of exclusivity; entities: (i, n_true, fold), pairs: (i, j, label, p). An
+    entity's pairs are one row, from the likeliest; cfg is "mode policy first second"."""
+    settings = [s for s in grid() if s[0] in policies]
+
+    def size(q: np.ndarray, policy: str, a: float, b: float) -> int:
+        if policy == "expected_f":
+            return best_size(q[:k], a, b)
+        if policy == "threshold" or not len(q) or q[0] < a:
+            return int((q >= a).sum())
+        return 1 + int((q[1:] >= b).sum())
+
+    def scorer(mode: str):
+        def run(parts):
+            for d in parts:
+                sums = {fold: np.zeros(len(settings)) for fold in d["fold"].unique()}
+                for fold, n_true, q, y in zip(d["fold"], d["n_true"], d["q"], d["y"], strict=True):
+                    q, hits = np.asarray(q, float), np.concatenate([[0], np.cumsum(y)])
+                    n = np.array([size(q, *s) for s in settings], int)
+                    tp = hits[n]
+                    sums[fold] += np.where(n == 0, float(n_true == 0), 1.25 * tp / np.maximum(0.25 * n_true + n, 1e-9))
+                count = d["fold"].value_counts()
+                for fold, f in sums.items():
+                    yield pd.DataFrame({"cfg": [" ".join(map(str, (mode, *s))) for s in settings], "fold": fold, "f": f, "n": count[fold]})
+
+        return run
+
+    out = None
+    none = F.array().cast("array<double>")
+    for mode in modes:
+        one = F.struct((-F.col("pe")).alias("q"), F.col("j"), F.col("label").cast("double").alias("y"))
+        t = exclusive(pairs, p, mode).groupBy("i").agg(F.array_sort(F.collect_list(one)).alias("t"))
+        e = entities.join(t, "i", "left").select("fold", "n_true", F.coalesce(F.transform("t", lambda x: -x["q"]), none).alias("q"), F.coalesce(F.transform("t", lambda x: x["y"]), none).alias("y"))
+        s = e.mapInPandas(scorer(mode), "cfg string, fold int, f double, n long")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 def tune(scored: DataFrame) -> DataFrame:
     """Of (cfg, fold, f, n): sums of F for each setting and fold: the setting that is
     best overall, each fold's score under the setting that is best on the others (the

@@ -42,8 +42,14 @@ def candidates(recs: DataFrame, pairs_truth: DataFrame | None, cfg: Config) -> D
     return p.join(pairs_truth.withColumn("hit", F.lit(1)), ["i", "j"], "left").withColumn("label", F.coalesce("hit", F.lit(0))).drop("hit")
 
 
-def link(pairs: DataFrame, feats: list[str], cfg: Config, mode: str = "hard", policy: tuple = ("threshold", 0.5, 0.0), fold: str = "fold", **kw) -> DataFrame:
-    """First model, prune, decision: the chosen pairs, with their out-of-fold scores p."""
+def link(pairs: DataFrame, feats: list[str], cfg: Config, mode: str = "hard", policy: tuple = ("threshold", 0.5, 0.0), fold: str = "fold", entities: DataFrame | None = None, **kw) -> DataFrame:
+    """First model, prune, decision: the chosen pairs, with their out-of-fold scores p. With
+    ``entities`` (i, n_true, fold) mode and policy are the best of the whole grid."""
     scored = models.out_of_fold(pairs, feats, "label", fold, **kw)
     kept = context.prune(scored, "p", cfg.prune.min_p, cfg.prune.rank_s1, cfg.prune.rank_rec)
+    if entities is not None:
+        d = cfg.decision
+        best = decide.tune(decide.grid_scores(entities, kept, "p", d.max_cands, d.excl_modes, d.policies)).orderBy(F.desc("f05"), "cfg").first()
+        mode, name, first, second = best["cfg"].split(" ")
+        policy = (name, float(first), float(second))
     return decide.select(context.exclusive(kept, "p", mode), "pe", *policy, k=cfg.decision.max_cands).where("sel")

@@ -126,17 +126,9 @@ def expected_f_select(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def policy_tuning(spark: SparkSession, d: str) -> DataFrame:
-    """A30, O2, MX6: cross-fitted choice among thresholds under two kinds of exclusivity."""
+    """A30, O2, MX6: cross-fitted choice among all settings under four kinds of exclusivity."""
     e = _entities(spark, d).withColumn("fold", F.pmod(F.xxhash64("i"), F.lit(4)).cast("int"))
-    parts = None
-    for mode in ("none", "hard"):
-        x = context.exclusive(_pairs(spark, d), "p", mode)
-        c = x.select("i", "label", F.explode(F.filter(F.array(*map(F.lit, _T)), lambda t: F.col("pe") >= t)).alias("t")).groupBy("t", "i").agg(F.count("*").alias("k"), F.sum("label").alias("tp"))
-        base = e.select("i", "n_true", "fold", F.explode(F.array(*map(F.lit, _T))).alias("t")).join(c, ["i", "t"], "left")
-        f = E.f_half(F.col("n_true"), F.coalesce("k", F.lit(0)), F.coalesce("tp", F.lit(0)))
-        s = base.groupBy(F.concat(F.lit(f"{mode} "), F.col("t").cast("string")).alias("cfg"), "fold").agg(F.sum(f).alias("f"), F.count("*").alias("n"))
-        parts = s if parts is None else parts.unionByName(s)
-    return decide.tune(parts)
+    return decide.tune(decide.grid_scores(e, _pairs(spark, d), "p"))
 
 
 @query(f"""WITH {_PAIRS}, c AS (SELECT *, count(*) OVER (PARTITION BY i) AS n FROM pairs), f AS (SELECT * FROM c WHERE n BETWEEN 2 AND 12)
