@@ -255,6 +255,12 @@ def test_scoring_halves_batches_and_drops_nothing(spark):
         rerank.merge_scores({0: spark.range(1).toDF("i"), 1: None})
 
 
+def test_whole_scores_cover_all_gated_pairs(spark):
+    gated = plans.queries()["rerank_texts"](spark, SF).where("p1 > 0.35 and p1 < 0.9").select("i", "j", "shard")
+    scored = plans.queries()["rerank_scores_whole"](spark, SF).join(gated, ["i", "j"])
+    assert scored.count() == gated.count() and {r["shard"] for r in scored.select("shard").distinct().collect()} == {0, 1, 2, 3}
+
+
 def test_features_must_cover_the_pairs(spark):
     p = spark.createDataFrame([(1, 1), (1, 2)], "i int, j int")
     f = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.1), (2, 2, 0.3)], "i int, j int, x double")

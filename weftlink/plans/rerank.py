@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftlink.config import model_plan
 from weftlink.operators import rerank
 
 from .common import collector, table
@@ -60,6 +61,13 @@ def rerank_scores(spark: SparkSession, d: str) -> DataFrame:
     return rerank.merge_scores({k: rerank.score(t, _by_length, 64, (0.35, 0.9), [k], carry=("label",)) for k in (0, 2)})
 
 
+@query(f"WITH {_TEXTS} SELECT i, j, label, CASE WHEN length(text_b) % 7 = 0 THEN 0 ELSE (length(text_a) - length(text_b)) / 10 END AS z FROM tx WHERE p1 > 0.35 AND p1 < 0.9")
+def rerank_scores_whole(spark: SparkSession, d: str) -> DataFrame:
+    """IO13, IO17, O4, ML9, F7, F16: all gated pairs through two models, each over its own shards."""
+    t = _texts(spark, d)
+    return rerank.merge_scores({m["model"]: rerank.score(t, _by_length, 64, (0.35, 0.9), m["shards"], carry=("label",)) for m in model_plan(4, 2)})
+
+
 @query(f"WITH {_PAIRS} SELECT i, j, p, label, src FROM pairs WHERE p >= 0.3")
 def feature_join(spark: SparkSession, d: str) -> DataFrame:
     """The pruned pairs with features of all pairs, checked to cover each once."""
