@@ -222,12 +222,137 @@ def test_html_density_without_article():
     assert got[0] == "Head" and len(got) == 6
 
 
-@pytest.mark.parametrize("wrapper", ['class="has-sidebar"', 'class="content with-sidebar"', 'class="layout-side"', 'id="no-sidebar"'])
-def test_html_layout_wrappers(wrapper):
-    story = "some words of the story go on and on"
+STORY = "some words of the story go on and on, " * 6
+
+
+@pytest.mark.parametrize("wrapper", ['class="has-sidebar"', 'class="content with-sidebar"', 'class="layout-side"', 'id="no-sidebar"', 'class="page-with-sidebar"', 'class="social-science"', 'class="content side-by-side"', 'id="legal"', 'class="sidebar"'])
+def test_html_names_give_way_to_content(wrapper):
+    story = STORY.strip()
     for text in (f"<article><p>{story}</p></article>", f"<p>{story}</p>"):
         assert htmltext.main_text(f'<body><div {wrapper}>{text}<div class="sidebar">other things</div></div></body>') == story
-    assert htmltext.main_text(f'<body><article><p>one</p></article><div {wrapper}><p>{story}</p></div></body>') == "one"
+        assert htmltext.main_text(f'<body><div {wrapper}>{text}</div><div class="comments"><p>{story * 9}</p></div></body>') == story
+
+
+def test_html_names_never_speak_for_a_part_of_several_words():
+    assert htmltext.main_text(f'<body><article><p>{STORY}</p><div class="social-science"><p>two</p></div></article></body>').endswith("\n\ntwo")
+    for name in ("cookie-banner", "site_footer", "shareButtons", "related-posts", "ad ad-slot-2", "newsletter-signup"):
+        assert htmltext.main_text(f'<body><div><p>{STORY}</p><p>{STORY}</p></div><div class="{name}"><p>{STORY * 6}</p></div></body>') == "\n\n".join([STORY.strip()] * 2)
+    assert htmltext.main_text(f'<body><div class="comments"><p>{STORY}</p></div></body>') == ""
+
+
+def test_html_menus_inside_articles_go():
+    menu = "".join(f'<li><a href="/{i}">link {i}</a></li>' for i in range(30))
+    assert htmltext.main_text(f'<body><article><h1>T</h1><p>{STORY}</p><ul>{menu}</ul><p>Short.</p><ul><li>x<li>see <a>y</a></ul></article></body>') == f"T\n\n{STORY.strip()}\n\nShort.\n\nx\n\nsee y"
+    assert htmltext.main_text(f"<body><p>a few words</p><ul>{menu}</ul></body>") == "a few words"
+    assert htmltext.main_text(f"<body><div><p>a few words</p><ul>{menu}</ul></div></body>") == "a few words"
+
+
+def _tree(r, depth=0):
+    """A random page as (tag, children)."""
+    say = lambda n: " ".join(r.choice(["river", "the", "a", "under", "stone,", "went."]) for _ in range(n))
+    leaf = r.random()
+    if depth > 3 or leaf < 0.3:
+        return ("p", [say(r.randrange(1, 60)), ("b", [say(2)]), say(r.randrange(3))] if r.random() < 0.5 else [say(r.randrange(1, 60))])
+    if leaf < 0.45:
+        return ("ul", [("li", [("a", [say(r.randrange(1, 4))])] + ([say(9)] if r.random() < 0.1 else [])) for _ in range(r.randrange(1, 9))])
+    if leaf < 0.55:
+        return ("h2", [say(3)])
+    tag = "article" if r.random() < 0.2 else r.choice(["div", "section"])
+    return (tag, [_tree(r, depth + 1) for _ in range(r.randrange(1, 6))] + ([say(r.randrange(12)), ("a", [say(1)])] if r.random() < 0.2 else []))
+
+
+def _brute_text(body):
+    """Composite text density by its definition, each figure counted anew for each node."""
+    kids = lambda n: [k for k in n[1] if not isinstance(k, str)]
+    below = lambda n: [n] + [x for k in kids(n) for x in below(k)]
+    chars = lambda n: sum(len(k.strip()) if isinstance(k, str) else chars(k) for k in n[1])
+    linked = lambda n: chars(n) if n[0] == "a" else sum(map(linked, kids(n)))
+    count = lambda n, tag=None: sum(x is not n and tag in (None, x[0]) for x in below(n))
+    block = lambda n: any(x[0] not in ("a", "b") for x in below(n))
+    blocks = lambda n: [k for k in kids(n) if block(k)]
+    runs = lambda n: sum(len(k.strip()) if isinstance(k, str) else chars(k) - linked(k) for k in n[1] if isinstance(k, str) or not block(k))
+    root = ("html", [body])
+
+    def density(n):
+        c, lc = chars(n), linked(n)
+        if c <= lc:
+            return 0.0
+        base = math.log(c / (c - lc) * lc + linked(root) / chars(root) * c + math.e)
+        return c / max(1, count(n)) * max(0.0, math.log(c / max(1, lc) * max(1, count(n)) / max(1, count(n, "a")))) / max(1.0, math.log(base))
+
+    total = lambda n: sum(map(density, blocks(n))) + runs(n) if blocks(n) else density(n)
+    plain = lambda n: sum(map(plain, blocks(n))) + runs(n) if blocks(n) else 0 if linked(n) or n[0] == "h2" else chars(n)
+    menu = lambda n: block(n) and count(n, "a") >= 3 and linked(n) >= 0.8 * chars(n) and not plain(n)
+    open_ = lambda n: [n] + [x for k in kids(n) if chars(k) and not menu(k) for x in open_(k)]
+    best = max([x for x in open_(body) if x is body or block(x)], key=total)
+
+    def way(n):
+        return [n] if n is best else next(([n, *w] for k in kids(n) if (w := way(k))), [])
+
+    path = way(body)
+    floor = min((density(x) for x in path if density(x) > 0), default=0.0)
+    first = next((k for k, x in enumerate(path) if x[0] == "article"), len(path))
+    out = [[]]
+
+    def write(n):
+        if menu(n):
+            return
+        edge = n[0] not in ("a", "b")
+        out.extend([[]] * edge)
+        if edge:
+            out[-1] = []
+        for k in n[1]:
+            out[-1].append(k) if isinstance(k, str) else write(k)
+        if edge:
+            out.append([])
+
+    def visit(n, on, beside):
+        if n is best:
+            return write(n) if n is not body else [out[-1].append(k) if isinstance(k, str) else write(k) for k in n[1]]
+        if not any(n is x for x in path):
+            if not chars(n) or menu(n):
+                return None
+            if beside or density(n) >= floor and (on or n[0] == "article") or on and n[0] == "h2":
+                return write(n)
+            return [visit(k, False, False) for k in blocks(n)]
+        inside = path.index(n) >= first
+        run = []
+        for k in [*n[1], None]:
+            if k is not None and (isinstance(k, str) or not block(k)):
+                run.append(k)
+                continue
+            if run and (inside or sum(len(x.strip()) if isinstance(x, str) else chars(x) - linked(x) for x in run) >= max(1.0, floor)):
+                out.append([])
+                for x in run:
+                    out[-1].append(x) if isinstance(x, str) else write(x)
+                out.append([])
+            run = []
+            if k is not None:
+                visit(k, True, inside)
+
+    visit(body, False, False)
+    return "\n\n".join(x for b in out if (x := " ".join("".join(b).split())))
+
+
+def test_html_density_matches_brute_force():
+    show = lambda n: f"<{n[0]}>" + "".join(k if isinstance(k, str) else show(k) for k in n[1]) + f"</{n[0]}>"
+    article = 0
+    for seed in range(150):
+        r = random.Random(seed)
+        body = ("body", [_tree(r) for _ in range(r.randrange(1, 6))])
+        page = show(body)
+        article += "<article>" in page
+        assert htmltext.main_text(page) == _brute_text(body), seed
+    assert 20 < article < 140
+
+
+def test_html_odd_rows(spark):
+    given = [(1, "u", None, 0), (1, "u", None, 0), (2, None, "", 0), (None, "v", f"<p>{STORY}</p>", 7), (3, "w", f"<p>{STORY * 4000}</p>", 1), (3, "w", "<p>\ud7ff \U0001F600 x</p>", 1)]
+    df = spark.createDataFrame(given, "page_id long, url string, html string, text int")
+    got = rows(htmltext.extract(df), "page_id", "url", "text", "n_chars")
+    want = [(i, u, t, len(t)) for i, u, t in [(1, "u", ""), (1, "u", ""), (2, None, ""), (None, "v", STORY.strip()), (3, "w", (STORY * 4000).strip()), (3, "w", "\ud7ff \U0001F600 x")]]
+    assert got == sorted(want, key=str)
+    assert htmltext.extract(df.where("false")).count() == 0
 
 
 def test_html_keeps_shorter_marked_parts():

@@ -1,4 +1,10 @@
-"""Main text of HTML pages by composite text density."""
+"""Main text of HTML pages by composite text density.
+
+Every element gets its characters a tag, adjusted by the share of links; the block whose
+blocks' densities sum to the most is the article, whatever it is called, and the least
+density on the way from the body to it is the threshold for what else is kept. Tags and
+roles that hold no article count for nothing; names (class, id) only make text weigh as link
+text, and give way to what an element holds."""
 
 from __future__ import annotations
 
@@ -20,12 +26,20 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center
 #: Never part of an article.
 OUT = {"aside", "button", "canvas", "dialog", "fieldset", "footer", "form", "head", "header", "iframe", "input", "label", "menu", "nav", "noscript", "object", "option", "script", "select", "style", "svg", "template", "textarea", "title"}
 OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog", "toolbar"}
-OUT_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promo(?:tion)?s?|banner|nav(?:bar|igation)?|menu|header|footer|sidebar|side|breadcrumbs?|cookies?|consent|gdpr|notice|notices|popup|modal|overlay|subscribe|newsletter|signup|login|share|sharing|social|related|recommended|comments?|commentlist|disqus|respond|replies|reply|widget|toolbar|pagination|pager|masthead|skip|hidden|legal)(?:$|[\s_-])", re.I)
+#: Words that name boilerplate, and words that may stand beside one in such a name
+#: ("cookie-banner", "site_footer"). With any other word beside it ("page-with-sidebar",
+#: "social-science") a name says nothing.
+COMMENTS = set("comment comments commentlist disqus replies reply respond responses".split())
+NAMES = COMMENTS | set("ad ads advert adverts advertisement advertisements adsense sponsor sponsored sponsors promo promos promotion banner banners nav navbar navigation menu menus header footer sidebar sidebars side breadcrumb breadcrumbs cookie cookies consent gdpr notice notices popup modal overlay subscribe newsletter signup login share sharing social related recommended widget widgets toolbar pagination pager masthead skip hidden legal".split())
+BESIDE = set("area articles bar bottom box block body button buttons center col column container content entry form frame global group inner item items left link links list main message outer page panel posts primary right secondary section site slot text thread title top unit wrap wrapper".split())
+#: Share of a page's text (reader comments and excluded elements left out) over which a
+#: named element is taken for the page itself.
+MOST = 0.8
+#: A block of so many links, and of so large a share of link text, is a menu.
+MENU_LINKS, MENU_SHARE = 3, 0.8
 ATTR = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+)))?""")
 #: What a head can hold.
 METADATA = {"base", "head", "link", "meta", "noscript", "script", "style", "template", "title"}
-#: An article element that is a reader's comment.
-COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies)(?:[_-](?:body|item|entry|text|content|\d+))*(?:$|\s)", re.I)
 #: Where a name in camel case parts.
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Elements that an opening tag closes, up to the given boundaries.
@@ -33,38 +47,47 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dd": ({"dd", "dt"}, {"dl
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "out", "named", "wide", "chars", "link", "tags", "links", "density", "total")
+    __slots__ = ("tag", "parent", "kids", "out", "named", "comment", "wide", "block", "chars", "link", "plain", "tags", "links", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False):
-        self.tag, self.parent, self.out, self.named, self.kids = tag, parent, out, named, []
-        self.wide = tag in BLOCK
-        self.chars = self.link = self.tags = self.links = 0
+    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False, comment: bool = False):
+        self.tag, self.parent, self.out, self.named, self.comment, self.kids = tag, parent, out, named, comment, []
+        self.wide = self.block = tag in BLOCK
+        self.chars = self.link = self.plain = self.tags = self.links = 0
         self.density = self.total = 0.0
 
 
-def _boilerplate(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element is boilerplate, and whether only a name that a wrapper of the
-    page's text can have, too, says so."""
+def _names(value: str) -> set[str]:
+    """The words of ``NAMES`` that a class or id attribute names an element by."""
+    said: set[str] = set()
+    for name in value.split():
+        parts = {x for x in re.split(r"[-_]+", CAMEL.sub("-", name).lower().rstrip("0123456789")) if x and not x.isdigit()}
+        if parts <= NAMES | BESIDE:
+            said |= parts & NAMES
+    return said
+
+
+def _boilerplate(tag: str, attrs: str) -> tuple[bool, bool, bool]:
+    """Whether an element is none of the page's text by its tag, role or state; whether its
+    name says so; and whether it is named for comments."""
     if tag in OUT:
-        return True, False
+        return True, False, False
     if not attrs or tag in ("html", "body", "main"):
-        return False, False
-    names = COMMENT if tag == "article" else OUT_NAMES
+        return False, False, False
     low = attrs.lower()
     if not ("class" in low or "id" in low or "role" in low or "hidden" in low or "style" in low):
-        return False, False
-    named = comment = False
+        return False, False, False
+    said: set[str] = set()
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "role" and value.lower().strip() in OUT_ROLES:
-            return True, False
+            return True, False, False
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True, False
+            return True, False, False
         if name in ("class", "id"):
-            parts = CAMEL.sub("-", value)
-            named = named or bool(names.search(value) or names.search(parts))
-            comment = comment or bool(COMMENT.search(value) or COMMENT.search(parts))
-    return named, named and not comment
+            said |= _names(value)
+    if tag == "article":
+        said &= COMMENTS
+    return False, bool(said), bool(said & COMMENTS)
 
 
 def parse(page: str) -> Node:
@@ -131,10 +154,6 @@ def parse(page: str) -> Node:
         if tag == "body":
             at = closed(at, root)
         node = Node(tag, at, *_boilerplate(tag, m[3]))
-        if tag == "main":
-            # a wrapper named for its layout ("has-sidebar") is no sidebar
-            for x in _path(at):
-                x.out = x.out and x.tag in OUT
         at.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, pos)
@@ -152,7 +171,7 @@ def _path(node: Node | None):
 
 
 def _order(root: Node) -> list[Node]:
-    """Nodes that are not boilerplate, parents first."""
+    """Nodes that are not excluded, parents first."""
     out, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -163,40 +182,37 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
-def rescue(root: Node) -> None:
-    """A wrapper named for its layout ("has-sidebar") is no sidebar: while no article or main
-    element is left, the named element that holds over half of the page's text comes back."""
-    every, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if not node.out or node.named:
-            every.append(node)
-            todo += [k for k in node.kids if type(k) is not str]
+def overrule(nodes: list[Node]) -> None:
+    """Names give way to what a page holds. An element named for boilerplate that holds an
+    article or main element is no boilerplate; and where no such element is marked, one
+    that holds over ``MOST`` of the page's text is the page. Comments stay comments."""
+    marked = False
+    aside, above = set(), set()  # within comments; around marked elements
+    for x in nodes:
+        if x.comment or x.parent is not None and id(x.parent) in aside:
+            aside.add(id(x))
+        elif x.tag in ("article", "main") and not x.named:
+            marked = True
+            for up in _path(x.parent):
+                if id(up) in above:
+                    break
+                above.add(id(up))
+                up.named = False
+    if marked:
+        return
     held: dict[int, int] = {}
-    for node in reversed(every):
-        held[id(node)] = sum(len(k.strip()) if type(k) is str else held.get(id(k), 0) for k in node.kids)
-    todo, marked = [root], False
-    while todo and not marked:
-        most = None
-        while todo:
-            for k in todo.pop().kids:
-                if type(k) is str:
-                    continue
-                if not k.out:
-                    marked = marked or k.tag in ("article", "main")
-                    todo.append(k)
-                elif k.named and 2 * held[id(k)] > held[id(root)]:
-                    most = k
-        if most is not None and not marked:
-            most.out = False
-            marked = most.tag in ("article", "main")
-            todo = [most]
-
-
-def weigh(root: Node) -> list[Node]:
+    for x in reversed(nodes):
+        held[id(x)] = 0 if id(x) in aside else sum(len(k.strip()) if type(k) is str else held.get(id(k), 0) for k in x.kids)
+    at = nodes[0]
+    while (most := next((k for k in at.kids if type(k) is not str and held.get(id(k), 0) > MOST * held[id(nodes[0])]), None)) is not None:
+        most.named, at = False, most
+
+
+def weigh(nodes: list[Node]) -> None:
     """Composite text density of every node: characters a tag, times the logarithm of the
-    same over the share that is not links; and the sum of the children's densities."""
-    nodes = _order(root)
+    same over the share that is not links, whose base grows with the links; and the sum of
+    the densities of a block's blocks (of a block without any: its own). Text in an element
+    that a name speaks against weighs as link text. All children come after their parents."""
     for node in reversed(nodes):
         for k in node.kids:
             if type(k) is str:
@@ -206,75 +222,113 @@ def weigh(root: Node) -> list[Node]:
                 node.link += k.link
                 node.tags += k.tags + 1
                 node.links += k.links + (k.tag == "a")
-        if node.tag == "a":
+                node.block = node.block or k.block
+        if node.tag == "a" or node.named:
             node.link = node.chars
+        if node.named:
+            node.links = max(node.links, node.tags)
     top = nodes[0]
     share = top.link / top.chars if top.chars else 0.0
     for node in nodes:
         c, lc, t, lt = node.chars, max(1, node.link), max(1, node.tags), max(1, node.links)
-        if c:
-            base = math.log(c / max(1, c - node.link) * node.link + share * c + math.e)
-            node.density = c / t * max(0.0, math.log(c / lc * t / lt)) / max(1.0, math.log(base)) if c > node.link else 0.0
-    for node in nodes:
-        node.total = sum(k.density for k in node.kids if type(k) is not str and not k.out)
-        if any(type(k) is str and k.strip() for k in node.kids):
-            node.total = max(node.total, node.density)
-    return nodes
-
-
-def regions(root: Node) -> list[Node]:
-    """The subtrees to keep: the one with the largest density sum, raised to the article
-    or main element around it; those beside the path from the body to it, and other
-    article or main elements, that reach the path's least density (the threshold)."""
-    rescue(root)
-    nodes = weigh(root)
+        if c > node.link:
+            base = math.log(c / (c - node.link) * node.link + share * c + math.e)
+            node.density = c / t * max(0.0, math.log(c / lc * t / lt)) / max(1.0, math.log(base))
+    for node in reversed(nodes):
+        below = [k for k in node.kids if type(k) is not str and not k.out and k.block]
+        own = sum(len(k.strip()) if type(k) is str else k.chars - k.link for k in node.kids if type(k) is str or not k.out and not k.block)
+        if below:
+            node.total = sum(k.density for k in below if not k.named) + own
+            node.plain = own + sum(k.plain for k in below if not k.named)
+        elif not node.named:
+            node.total = node.density
+            node.plain = 0 if node.link or re.fullmatch("h[1-6]", node.tag) else node.chars
+
+
+def _menu(node: Node) -> bool:
+    """Whether a block is a list of links: no text beside them but headings and what
+    stands between links."""
+    return node.block and node.links >= MENU_LINKS and node.link >= MENU_SHARE * node.chars and not node.plain
+
+
+def _skipped(node: Node) -> bool:
+    return node.out or node.named or _menu(node)
+
+
+def _runs(node: Node):
+    """The blocks among the children, and the runs of texts and inline elements between."""
+    run: list = []
+    for k in node.kids:
+        if type(k) is not str and k.block:
+            if run:
+                yield run
+            run = []
+            yield k
+        else:
+            run.append(k)
+    if run:
+        yield run
+
+
+def regions(root: Node) -> list:
+    """The parts to keep, in page order, None between them: the block with the largest
+    density sum; beside the path from the body to it every block and run of text that
+    reaches the path's least density (the threshold), and headings; within an article or
+    main element around it all that is no list of links; and other article or main
+    elements that reach the threshold."""
+    nodes = _order(root)
+    overrule(nodes)
+    weigh(nodes)
     body = next((x for x in nodes if x.tag == "body"), root)
-    inside = [x for x in _order(body) if x.chars]
-    if not inside:
-        return []
-    semantic = [x for x in inside if x.tag in ("article", "main") and not any(y.tag in ("article", "main") for y in _path(x.parent))]
-    if semantic:
-        # what the author marks as the article is kept whole
-        best = max(semantic, key=lambda x: (max(y.total for y in _order(x)), x.chars))
-    else:
-        best = max(inside, key=lambda x: x.total)  # of equals the outermost
+    best, todo = body, [body]
+    while todo:
+        x = todo.pop()
+        best = x if x.block and x.total > best.total else best  # of equals the outermost
+        todo += [k for k in reversed(x.kids) if type(k) is not str and k.chars and not _skipped(k)]
     path = list(_path(best))
     path = path[: path.index(body) + 1] if body in path else path
     floor = min((x.density for x in path if x.density > 0), default=0.0)
-    if best is body:
-        return [body]
-    keep, held = [], set(map(id, path))
-    for x in path[1:]:
-        for k in x.kids:
-            if type(k) is not str and not k.out and k.chars and id(k) not in held and (k.density >= floor or re.fullmatch("h[1-6]", k.tag)):
-                keep.append(k)
-    kept = {id(best), *map(id, keep)}
-    keep += [x for x in semantic if x.density >= floor and not any(id(y) in kept for y in _path(x))]
-    order = {id(x): i for i, x in enumerate(nodes)}
-    return sorted([best, *keep], key=lambda x: order[id(x)])
-
-
-def text_of(nodes: list[Node]) -> str:
-    """The texts of the subtrees: white space inside a block is one space, blocks are
-    parted by an empty line."""
+    marked = max((k for k, x in enumerate(path) if x.tag in ("article", "main")), default=-1)
+    inside, around = {id(x) for x in path[1 : marked + 1]}, {id(x) for x in path[1:]}
+    out: list = []
+    todo = [(body, False)]
+    while todo:
+        x, beside = todo.pop()
+        if type(x) is list:
+            long = sum(len(k.strip()) if type(k) is str else k.chars - k.link for k in x if type(k) is str or not _skipped(k))
+            if beside or long >= max(1.0, floor):
+                out += [None, *x]
+        elif id(x) in around:
+            todo += [(k, id(x) in inside) for k in reversed(list(_runs(x)))]
+        elif x is best:
+            out += [None, *x.kids] if x is body else [None, x]
+        elif _skipped(x) or not x.chars:
+            continue
+        elif beside or x.density >= floor and (x.tag in ("article", "main") or x.parent is not None and id(x.parent) in around) or re.fullmatch("h[1-6]", x.tag) and id(x.parent) in around:
+            out += [None, x]
+        else:
+            todo += [(k, False) for k in reversed(x.kids) if type(k) is not str]
+    return out
+
+
+def text_of(parts: list) -> str:
+    """The texts of subtrees: white space inside a block is one space, blocks are parted by
+    an empty line. Excluded elements, named ones and lists of links are left out."""
     blocks: list[list[str]] = [[]]
-    for top in nodes:
-        blocks.append([])
-        todo: list = [top]
-        while todo:
-            k = todo.pop()
-            if k is None:
+    todo: list = list(reversed(parts))
+    while todo:
+        k = todo.pop()
+        if k is None:
+            blocks.append([])
+        elif type(k) is str:
+            blocks[-1].append(k)
+        elif k.tag == "br" or k.tag == "wbr":
+            blocks[-1].append(" " if k.tag == "br" else "")
+        elif not _skipped(k):
+            if k.wide:
                 blocks.append([])
-            elif type(k) is str:
-                blocks[-1].append(k)
-            elif k.tag == "br" or k.tag == "wbr":
-                blocks[-1].append(" " if k.tag == "br" else "")
-            elif not k.out:
-                if k.wide:
-                    blocks.append([])
-                    todo.append(None)
-                todo += reversed(k.kids)
-        blocks.append([])
+                todo.append(None)
+            todo += reversed(k.kids)
     return "\n\n".join(x for b in blocks if (x := " ".join("".join(b).split())))
 
 
