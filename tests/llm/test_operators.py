@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,14 +174,67 @@ def test_ann_small_and_odd(spark):
     assert ann.nearest(df.where("false"), df).count() == 0
 
 
-def test_ann_recall(spark):
-    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+def _recall(spark, n):
+    t = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("embedding is not null").orderBy("vec_id").limit(n)
+    e = common.staged(t, "vectors")
     got = defaultdict(set)
-    for x in ann.nearest(e, e.where("vec_id % 50 = 0"), shard=512).collect():
+    for x in ann.nearest(e, e.where("vec_id % 50 = 0")).collect():
         got[x["query_id"]].add(x["vec_id"])
     vec = [(x["vec_id"], x["embedding"]) for x in e.collect()]
     want = brute_nearest(vec, got.keys(), 5)
-    assert np.mean([len(got[q] & {i for i, _ in w}) / 5 for q, w in want.items()]) >= 0.9
+    return np.mean([len(got[q] & {i for i, _ in w}) / 5 for q, w in want.items()])
+
+
+def test_ann_recall_at_the_default_shard(spark):
+    assert _recall(spark, 1500) >= 0.95
+    assert _recall(spark, 5000) >= 0.95
+
+
+def _scores(x, k=5):
+    pdf = pd.DataFrame({"id": np.arange(len(x)), "vec": list(x), "dim": x.shape[1], "shard": 0})
+    kept = {}
+    put, ann._put = ann._put, lambda root, name, **arrays: kept.update(arrays) or name
+    try:
+        ann._build("")(pdf)
+    finally:
+        ann._put = put
+    return kept
+
+
+def test_ann_tells_multiples_and_near_copies_apart():
+    r = np.random.default_rng(0)
+    base, rest = r.normal(size=64), r.normal(size=(2000, 64))
+    q = np.arange(2000, 2040)
+    near = base + r.normal(size=(40, 64)) * 1e-5 * np.abs(base)
+    scaled = base * 2.0 ** r.integers(-30, 30, 40)[:, None]
+    for group in (near, scaled):
+        x = np.vstack([rest, group])
+        got = defaultdict(list)
+        for i, j, s in ann.search(_scores(x), x[q], q, 5)[0]:
+            got[i].append((j, s))
+        for i in q.tolist():
+            s = x @ x[i] / (np.linalg.norm(x, axis=1) * np.linalg.norm(x[i]))
+            s[i] = -9
+            want = np.lexsort((np.arange(len(x)), -np.round(s, 14)))[:5]
+            assert sorted(j for j, _ in got[i]) == sorted(want.tolist()) and np.allclose([v for _, v in got[i]], s[want], atol=1e-14)
+        if group is scaled:
+            assert all([j for j, _ in got[i]] == [j for j in range(2000, 2006) if j != i][:5] for i in q.tolist())
+
+
+def test_ann_looks_at_a_share_of_the_shard_that_falls():
+    r = np.random.default_rng(2)
+    shares = []
+    for n in (1000, 4000, 16000):
+        x = r.normal(size=(n, 16))
+        q = np.arange(0, n, 50)
+        found, looked = ann.search(_scores(x), x[q], q, 5)
+        u = ann.unit(x)
+        s = u[q] @ u.T
+        s[np.arange(len(q)), q] = -9
+        want = {(int(q[i]), j) for i, w in enumerate(np.argsort(-s, axis=1)[:, :5].tolist()) for j in w}
+        assert len(want & {(i, j) for i, j, _ in found}) / len(want) > 0.97
+        shares.append(looked / len(q) / n)
+    assert shares[0] > 1.5 * shares[1] > 2.5 * shares[2] and shares[2] < 0.15
 
 
 # HTML

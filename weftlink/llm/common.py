@@ -36,6 +36,14 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/weftlink/{name}-{uuid.uuid4().hex}"
 
 
+def open_store(uri: str):
+    """(file system, path) of a URI or a local path, for tasks that write or read files of
+    their own in the shared folder."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
     executors, and gives Catalyst the exact size for its join choice."""

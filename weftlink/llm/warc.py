@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, staged
+from .common import fresh_dir, open_store, staged
 
 #: Bytes of an archive that one reading range covers.
 RANGE = 16 << 20
@@ -27,13 +27,6 @@ DATE = "1970-01-01T00:00:00Z"
 RECORDS = "record_id string, record_type string, target_uri string, payload_digest string, payload_bytes long, refers_to string, http_status int, payload binary, path string, offset long"
 
 
-def open_store(uri: str):
-    """(file system, path) of a URI or a local path."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
-
-
 def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
