@@ -75,6 +75,48 @@ def test_warc_ranges_own_each_record_once(tmp_path):
         assert got == [(s, f"<r{k}>") for k, s in enumerate(starts)]
 
 
+class _Counted:
+    def __init__(self, data):
+        self.data, self.at, self.bytes, self.reads = data, 0, 0, 0
+
+    def seek(self, at):
+        self.at = at
+
+    def read(self, n):
+        self.bytes, self.reads = self.bytes + min(n, len(self.data) - self.at), self.reads + 1
+        return self.data[self.at : self.at + n]
+
+
+@pytest.mark.parametrize("size", [300, 40_000, 3_000_000])
+def test_warc_scan_reads_its_range_and_one_record(size):
+    data, longest = b"", 0
+    for k in range(max(4, 600_000 // size)):
+        body = random.Random(k).randbytes(size)
+        m = warc.member(f"r{k}", "http://x", warc.base32_sha1(body), body, len(body), None)
+        data, longest = data + m, max(longest, len(m))
+    step, found = len(data) // 3 + 1, 0
+    for a in range(0, len(data), step):
+        f = _Counted(data)
+        found += len(list(warc.scan(f, len(data), a, min(a + step, len(data)))))
+        assert f.bytes <= step + longest + 2 * warc.PIECE and f.reads <= step / warc.CHUNK + longest / warc.PIECE + 3
+    assert found == max(4, 600_000 // size)
+
+
+def test_warc_copies_by_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    given = [(k, "u", "hot" if k % 3 == 0 else f"twice {k // 6}" if k % 3 == 1 else f"once {k}", 0, "") for k in range(120)] + [(None, "u", "hot", 0, ""), (117, "u", "hot", 0, "")]
+    pages = spark.createDataFrame(given, PAGES).repartition(3)
+    for hot in (1, 4, 10**9):
+        monkeypatch.setattr(warc, "HOT", hot)
+        got = rows(warc.round_trip(pages), "record_id", "record_type", "refers_to")
+        want = []
+        for i, _, html, *_ in given:
+            most = max(g[0] for g in given if g[2] == html and g[0] is not None)
+            mine = f"urn:page:{'null' if i is None else i}"
+            want.append((mine, "response", None) if i == most else (mine, "revisit", f"urn:page:{most}"))
+        assert got == sorted(want, key=str)
+
+
 # URL filter
 
 

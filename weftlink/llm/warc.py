@@ -18,8 +18,15 @@ from .common import fresh_dir, open_store, staged
 
 #: Bytes of an archive that one reading range covers.
 RANGE = 16 << 20
-#: Bytes read at a time.
+#: Bytes read at a time, and bytes decompressed at a time.
 CHUNK = 1 << 20
+PIECE = 1 << 16
+#: Repeated digests up to which their table is broadcast; beyond it a bitmap of so many bits
+#: (32 MB) is, that most payloads seen once pass the join by.
+BROADCAST_ROWS = 500_000
+BITS = 1 << 28
+#: A payload that more than one in HOT of all rows share is always broadcast (fewer than HOT).
+HOT = 1000
 #: Fixed bytes at the start of a gzip member.
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
@@ -82,8 +89,8 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     keys = pages.select(F.col(id_col).alias("raw"), F.sha1(payload).alias("sha"))
     # only payloads that occur again: the others need no partner
     again = keys.groupBy("sha").agg(F.max("raw").alias("most"), F.count("*").alias("n")).where("n > 1")
-    again = staged(again.select(F.col("sha").alias("rsha"), "most"), "warc-digests")
-    j = p.join(again, (F.col("sha") == F.col("rsha")) & ~F.col("raw").eqNullSafe(F.col("most")), "left")
+    again = staged(again.select(F.col("sha").alias("rsha"), "most", "n"), "warc-digests")
+    j = _referred(p, again)
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("null")))
     refers = F.when(F.col("rsha").isNotNull(), urn(F.col("most")))
     n = F.octet_length("payload").cast("long")
@@ -93,6 +100,28 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     return staged(rows.mapInPandas(_writer(root), "path string, records long, size long"), "warc-files")
 
 
+def _referred(p: DataFrame, again: DataFrame) -> DataFrame:
+    """Payload rows with ``rsha`` and ``most`` of the record that they revisit, if any. While the
+    repeated digests are few they are broadcast and nothing is shuffled. Beyond that only
+    rows whose digest may be repeated, by a broadcast bitmap, meet them in a join; digests
+    of a great share of the rows are broadcast, so no join key is hot."""
+    other = (F.col("sha") == F.col("rsha")) & ~F.col("raw").eqNullSafe(F.col("most"))
+    repeated, copies = again.agg(F.count("*"), F.sum("n")).first()
+    if repeated <= BROADCAST_ROWS:
+        return p.join(F.broadcast(again.drop("n")), other, "left")
+    hot = again.where(F.col("n") * HOT > copies).select(F.col("rsha").alias("hsha"), F.col("most").alias("hmost"))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    bits = again.select(place("rsha").alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    flagged = p.join(F.broadcast(hot), F.col("sha") == F.col("hsha"), "left").withColumn("at", place("sha"))
+    flagged = flagged.join(F.broadcast(bits), F.bitmap_bucket_number("at") == F.col("bucket"), "left")
+    bit = F.bitmap_bit_position("at")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    may = F.col("hsha").isNull() & F.coalesce(F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    past = flagged.where(~may).withColumn("rsha", F.when(~F.col("raw").eqNullSafe(F.col("hmost")), F.col("hsha"))).withColumn("most", F.col("hmost"))
+    meet = flagged.where(may).select(*p.columns).join(again.drop("n"), other, "left")
+    return past.select(*meet.columns).unionByName(meet)
+
+
 def base32(hex_digest) -> F.Column:
     """Base32 (RFC 4648) of a digest in hex whose bits divide by five."""
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -118,54 +147,61 @@ def _headers(data: bytes) -> dict[str, str] | None:
 
 
 class _Reader:
-    """Bytes of a file at any place, read by chunks."""
-
-    def __init__(self, f, size: int):
-        self.f, self.size, self.at, self.buf = f, size, 0, b""
-
-    def get(self, at: int, n: int = CHUNK) -> bytes:
-        if not (self.at <= at and at + 1 <= self.at + len(self.buf)):
-            self.f.seek(at)
-            self.at, self.buf = at, self.f.read(min(n, self.size - at))
-        return self.buf[at - self.at :]
+    """Bytes of a file from a place on, read one after another and kept from the place in hand
+    on: nothing is read twice. Up to ``end`` by ``CHUNK``, beyond it by ``PIECE``."""
+
+    def __init__(self, f, size: int, start: int, end: int):
+        self.f, self.size, self.at, self.end, self.buf = f, size, start, end, bytearray()
+
+    def drop(self, at: int) -> None:
+        """Nothing before a place is needed again."""
+        del self.buf[: at - self.at]
+        self.at = max(self.at, at)
+
+    def fill(self) -> bool:
+        """Read on; False at the end of the file."""
+        pos = self.at + len(self.buf)
+        n = min(CHUNK, self.end - pos) if pos < self.end else PIECE
+        self.f.seek(pos)
+        data = self.f.read(min(n, self.size - pos)) if pos < self.size else b""
+        self.buf += data
+        return bool(data)
 
     def find(self, start: int, end: int) -> int:
         """The first place from ``start`` and before ``end`` where the magic stands, or -1."""
-        at = start
-        while at < end:
-            self.f.seek(at)
-            data = self.f.read(min(CHUNK + len(MAGIC) - 1, self.size - at))
-            k = data.find(MAGIC)
+        self.drop(start)
+        while True:
+            k = self.buf.find(MAGIC)
             if k >= 0:
-                return at + k if at + k < end else -1
-            at += max(1, len(data) - len(MAGIC) + 1)
-            if len(data) < len(MAGIC):
+                return self.at + k if self.at + k < end else -1
+            self.drop(max(self.at, self.at + len(self.buf) - len(MAGIC) + 1))
+            if self.at >= end or not self.fill():
                 return -1
-        return -1
 
     def member(self, at: int) -> tuple[bytes, int] | None:
         """(content, end) of the gzip member at a place; None if none decodes, or its
         content does not start as a record does."""
-        z, out, pos, checked = zlib.decompressobj(31), [], at, False
+        self.drop(at)
+        z, out, pos, checked = zlib.decompressobj(31), [], 0, False
         try:
             while not z.eof:
-                if pos >= self.size:
+                if pos >= len(self.buf) and not self.fill():
                     return None
-                data = self.get(pos)
-                out.append(z.decompress(data))
-                pos += len(data) - len(z.unused_data)
+                with memoryview(self.buf) as whole, whole[pos : pos + PIECE] as piece:
+                    out.append(z.decompress(piece))
+                    pos += len(piece) - len(z.unused_data)
                 if not checked and (first := b"".join(out))[:7]:
                     if not b"WARC/1.".startswith(first[:7]) and not first.startswith(b"WARC/1."):
                         return None
                     checked, out = len(first) >= 7, [first]
         except zlib.error:
             return None
-        return b"".join(out), pos
+        return b"".join(out), at + pos
 
 
 def scan(f, size: int, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(offset, headers, block) of the records that start in [start, end)."""
-    r, at = _Reader(f, size), start
+    r, at = _Reader(f, size, start, end), start
     while 0 <= (at := r.find(at, end)) < end:
         got = r.member(at)
         head = _headers(got[0]) if got else None
@@ -208,8 +244,7 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE) -> DataFrame:
     cut = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
     ranges = files.select("path", "size", cut.alias("start")).withColumn("end", F.least(F.col("start") + range_bytes, F.col("size")))
     n = max(1, min(ranges.count(), 100_000))
-    parts = ranges.repartition(n, "path", "start")
-    return parts.mapInPandas(_range_reader, RECORDS)
+    return ranges.repartition(n).mapInPandas(_range_reader, RECORDS)
 
 
 def round_trip(pages: DataFrame, range_bytes: int = RANGE) -> DataFrame:
