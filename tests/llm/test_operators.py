@@ -616,30 +616,41 @@ def test_chat_round_trip(spark):
 # tokens
 
 
-def test_token_counts_equal_the_library(spark):
-    from tokenizers import Tokenizer
+ODD_TEXTS = [None, "", " ", "a<|endoftext|>b", "<|endoftext|><|endoftext|>", "<|endoftext|", "it's we'll I'M", "  two  spaces \n\n x\t\ty ", "中文 日本語 한국어", " nbsp　wide line", "é é ß İ", "😀👩‍👩‍👧 🇫🇷", "١٢٣ ½ ² Ⅷ", "a" * 50000, "\x00\x1c\x85", "ab " * 40000, "𞤀𞤁 ᲀ ꟊ", "'s's 'S", "<|startoftext|>a <|ENDOFTEXT|> b</w>", "▁a <s> </s> <unk>"]
 
-    tok = Tokenizer.from_file(tokens.tokenizer_path())
-    odd = [None, "", " ", "a<|endoftext|>b", "<|endoftext|><|endoftext|>", "<|endoftext|", "it's we'll I'M", "  two  spaces \n\n x\t\ty ", "中文 日本語 한국어", " nbsp　wide line", "é é ß İ", "😀👩‍👩‍👧 🇫🇷", "١٢٣ ½ ² Ⅷ", "a" * 50000, "\x00\x1c\x85", "ab " * 40000, "𞤀𞤁 ᲀ ꟊ", "'s's 'S"]
-    texts = list(enumerate(odd)) + [(3, "x"), (None, "y z")]
-    got = Counter(tuple(r) for r in tokens.token_counts(docs(spark, texts)).collect())
-    n = [len(tok.encode(t or "", add_special_tokens=False).ids) for _, t in texts]
-    assert got == Counter((i, len((t or "").encode()), k, k > 1024) for (i, t), k in zip(texts, n, strict=True))
-    assert tokens.token_counts(docs(spark, []).where("false")).count() == 0
 
+def library_counts(path, texts):
+    if path.endswith(".model"):
+        import sentencepiece
 
-def test_token_counts_of_the_documents(spark):
+        return [len(x) for x in sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)]
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(tokens.tokenizer_path())
-    d = [(r["doc_id"], r["text"] or "") for r in common.table(spark, SF, "documents").collect()]
-    want = Counter((i, len(e.ids)) for (i, _), e in zip(d, tok.encode_batch([t for _, t in d], add_special_tokens=False), strict=True))
-    assert Counter((r["doc_id"], r["n_tokens"]) for r in queries.op9_tokens(spark, SF).collect()) == want
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    return [len(e.ids) for e in tok.encode_batch(texts, add_special_tokens=False)]
+
 
+@pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "pattern"), ("word_bpe_49k.json", "library"), ("piece_bpe_32k.model", "whole")])
+def test_token_counts_equal_the_library(spark, monkeypatch, name, kind):
+    path = tokens.tokenizer_path(name)
+    assert tokens.Splitter(path).kind == kind
+    monkeypatch.setattr(tokens, "BLOCK", 5)
+    texts = list(enumerate(ODD_TEXTS)) + [(3, "x"), (None, "y z"), (3, "x")]
+    n = library_counts(path, [t or "" for _, t in texts])
+    want = Counter((i, len((t or "").encode()), k, k > 1024) for (i, t), k in zip(texts, n, strict=True))
+    d = docs(spark, texts).repartition(3)
+    for held in (0, 200, 1 << 20):
+        monkeypatch.setattr(tokens, "HEAD_BYTES", held)
+        assert Counter(tuple(r) for r in tokens.token_counts(d, path=path).collect()) == want, held
+    assert tokens.token_counts(d.where("false")).count() == 0
 
-def test_piece_table_starts_anew():
-    c = tokens.PieceCounter(tokens.tokenizer_path(), kept=3)
-    assert [c.count([t])[0] for t in ("one two three four five", "six seven eight", "one two")] == [5, 3, 2]
+
+def test_token_counts_of_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "SAMPLE_ROWS", 20)
+    d = [(r["doc_id"], r["text"] or "") for r in common.table(spark, SF, "documents").collect()]
+    want = Counter(zip((i for i, _ in d), library_counts(tokens.tokenizer_path(), [t for _, t in d]), strict=True))
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in queries.op9_tokens(spark, SF).collect()) == want
 
 
 # SimHash

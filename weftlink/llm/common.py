@@ -44,13 +44,17 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
 
 
+def written(df: DataFrame, name: str) -> str:
+    """The folder of the shared folder that a table was written to, as Parquet."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
     executors, and gives Catalyst the exact size for its join choice."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
 
 
 def words(text) -> F.Column:
