@@ -178,14 +178,27 @@ def test_decontamination_drops_only_rows_that_hold_an_item(spark):
     assert rows(kept, "doc_id", "text") == sorted([(None, "clean one"), (None, None), (7, "clean two"), (7, "clean two"), (9, "")], key=str)
 
 
-@pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
-def test_decontamination_shuffled_keys(spark, monkeypatch, bound):
-    monkeypatch.setattr(decontaminate, bound, 0)
+def test_decontamination_shuffled_keys(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
     texts = [(1, "a b c d e f g"), (2, "x " + "a b c d e f g"), (3, "a b c")]
     got = decontaminate.contamination(docs(spark, texts), spark.createDataFrame([(9, "a b c d e f g")], "item_id long, text string"))
     assert {r["doc_id"] for r in got.collect()} == {1, 2}
 
 
+def test_decontamination_sql_has_short_items(spark, tmp_path):
+    items = [(1, "just three words"), (2, "x"), (3, "a b c d e f"), (4, ""), (5, None)]
+    texts = [(1, "so just three  words"), (2, "y X"), (3, "a b c d e f x"), (4, "a b c d e"), (5, None), (6, "")]
+    it = spark.createDataFrame(items, "item_id long, text string")
+    docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    it.write.parquet(str(tmp_path / "benchmark.parquet"))
+    c = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = sorted(c.execute(f"SELECT doc_id, item_id, matched, total FROM ({queries.OP3_SQL})").fetchall())
+    got = queries.op3_decontamination(spark, str(tmp_path)).select("doc_id", "item_id", "matched", "total").collect()
+    assert sorted(map(tuple, got)) == want == sorted(brute_contamination([(i, t or "") for i, t in texts], items))
+
+
 # approximate nearest neighbours
 
 

@@ -1,15 +1,19 @@
 """Benchmark decontamination: size-partitioned MinHash containment search. DataFrame
 operations only.
 
-Items are partitioned by their number of distinct shingles q. A document that holds
-at least ``threshold`` of an item misses at most q - ceil(threshold q) of its
-shingles, so it must hold one of the item's q - ceil(threshold q) + 1 smallest
-MinHash values. That number, fixed for each size partition, is the sketch length;
-the search finds every document that reaches the threshold, however long it is, and
+Items are partitioned by their number of distinct shingles q (powers of two; those of fewer
+words than a shingle has are partitions of their own). A document that holds at least
+``threshold`` of an item misses at most q - ceil(threshold q) of its shingles, so it holds
+one of the item's q - ceil(threshold q) + 1 least MinHash values: these are its sketch. The
+greatest value in the sketches of a partition is the partition's bound, and a document's
+sketch there is all its MinHash values up to the bound (so it grows with the document, as
+containment needs it, where a fixed number of minima would hold an item of a long document
+by chance only). Whatever reaches the threshold shares a value, however long the document;
 nothing is sampled. Each candidate pair is then verified on the shingles' texts."""
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +22,8 @@ from .common import staged, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Sketch rows, and bytes of their shingles, up to which the probe side is broadcast.
+#: Sketch rows (64-bit values) up to which the probe side is broadcast.
 BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 << 20
 
 
 def _tokens(text) -> F.Column:
@@ -33,14 +36,29 @@ def _grams(tokens, size: int) -> F.Column:
     return F.transform(at, lambda i: F.concat_ws(" ", *(F.get(tokens, i + k) for k in range(size))))
 
 
+def _hashes(tokens, size: int) -> F.Column:
+    """64-bit hashes of all runs of ``size`` words, of an array of the words' hashes."""
+    at = F.when(F.size(tokens) >= size, F.sequence(F.lit(0), F.size(tokens) - size)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.xxhash64(*(F.get(tokens, i + k) for k in range(size))))
+
+
+def _word_hashes(tokens) -> F.Column:
+    return F.transform(tokens, lambda w: F.xxhash64(w))
+
+
 def item_shingles(items: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
-    """(item, len, grams): distinct shingles of each distinct item text. An item of
+    """(item, len, grams, values): distinct shingles of each distinct item text, and their
+    hashes, least first. An item of
     fewer words than ``size`` is one shingle of its own length; one without words
     is left out. Rows of one id with different texts are items of their own."""
     t = items.select(F.col(id_col).alias("item"), _tokens(F.col(text_col)).alias("t")).where("size(t) > 0").distinct()
     n = F.least(F.size("t"), F.lit(size))
     grams = F.when(F.size("t") >= size, F.array_distinct(_grams(F.col("t"), size))).otherwise(F.array(F.array_join("t", " ")))
-    return t.select("item", n.alias("len"), grams.alias("grams"))
+    h = _word_hashes(F.col("t"))
+    values = F.when(F.size("t") >= size, _hashes(h, size))
+    for k in range(1, size):
+        values = values.when(F.size("t") == k, _hashes(h, k))
+    return t.select("item", n.alias("len"), grams.alias("grams"), F.array_sort(F.array_distinct(values)).alias("values"))
 
 
 def _verified(docs: DataFrame, items: DataFrame, threshold: float, size: int, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame | None:
@@ -50,25 +68,34 @@ def _verified(docs: DataFrame, items: DataFrame, threshold: float, size: int, id
     total = F.size("grams")
     # ceil with slack, else 0.8 * 5 in floating point could ask for one shingle too many
     need = F.ceil(total * F.lit(threshold) - F.lit(1e-9)).cast("int")
-    ranked = F.array_sort(F.transform("grams", lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
-    sketch = sets.select("item", "len", F.explode(F.slice(ranked, F.lit(1), total - need + 1)).alias("s")).select("item", "len", F.col("s.g").alias("key"))
-    sketch = staged(sketch, "sketch")
-    lengths, rows, held = sketch.agg(F.collect_set("len"), F.count("*"), F.sum(F.octet_length("key"))).first()
-    if not rows:
+    part = F.struct(F.col("len"), F.floor(F.log2(total.cast("double")) + 1e-9).cast("int").alias("q"))
+    sketch = staged(sets.select("item", part.alias("part"), F.explode(F.slice("values", F.lit(1), total - need + 1)).alias("value")), "sketch")
+    bounds = sketch.groupBy("part").agg(F.max("value").alias("bound"), F.count("*").alias("n")).collect()
+    if not bounds:
         return None
-    keys = sketch.select("item", F.col("key").alias("shingle"))
-    keys = F.broadcast(keys) if rows <= BROADCAST_ROWS and held <= BROADCAST_BYTES else keys
+    rows = sum(r["n"] for r in bounds)
+    keys = sketch.select("item", F.col("part").alias("kpart"), F.col("value").alias("kvalue"))
+    keys = F.broadcast(keys) if rows <= BROADCAST_ROWS else keys
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    t = texts.select("id", "key", _tokens(F.col("text")).alias("t"))
-    probe = [_grams(F.col("t"), n) for n in sorted(lengths)]
-    hits = t.select("id", "key", F.explode(F.flatten(F.array(*probe)) if len(probe) > 1 else probe[0]).alias("g")).join(keys, F.col("g") == F.col("shingle")).select("id", "key", "item").distinct()
+    t = texts.select("id", "key", _word_hashes(_tokens(F.col("text"))).alias("t"))
+    probes, lengths = [], sorted({r["part"]["len"] for r in bounds})
+    for n in lengths:
+        # a value goes to every partition whose bound it is within
+        parts = sorted((r["bound"], r["part"]["q"]) for r in bounds if r["part"]["len"] == n)
+        most = parts[-1][0]
+        few = F.filter(_hashes(F.col("t"), n), lambda h, most=most: h <= F.lit(most))
+        steps = [F.when(F.col("h") <= b, F.struct(F.lit(n).alias("len"), F.lit(q).alias("q"))) for b, q in parts]
+        p = t.select("id", "key", F.explode(F.array_distinct(few)).alias("h"))
+        p = p.select("id", "key", "h", F.explode(F.filter(F.array(*steps), lambda x: x.isNotNull())).alias("part")) if len(parts) > 1 else p.select("id", "key", "h", steps[0].alias("part"))
+        probes.append(p.join(keys, (F.col("h") == F.col("kvalue")) & (F.col("part") == F.col("kpart"))).select("id", "key", "item"))
+    hits = reduce(DataFrame.unionByName, probes).distinct()
     pairs = staged(hits, "candidates").select(F.col("id").alias("pid"), F.col("key").alias("pkey"), "item")
     # exact: the candidates' texts once more, against the whole shingle set of the item
     held = texts.join(pairs, F.col("id").eqNullSafe(F.col("pid")) & (F.col("key") == F.col("pkey")))
     held = held.join(sets.select(F.col("item").alias("sitem"), "len", "grams"), F.col("item").eqNullSafe(F.col("sitem")))
     held = held.select("id", "key", "item", "len", "grams", _tokens(F.col("text")).alias("t"))
     own = F.lit(None).cast("array<string>")
-    for n in sorted(lengths):
+    for n in lengths:
         own = F.when(F.col("len") == n, _grams(F.col("t"), n)).otherwise(own)
     return held.select("id", "key", "item", F.size("grams").alias("total"), F.size(F.array_intersect("grams", own)).alias("matched"))
 

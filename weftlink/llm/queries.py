@@ -77,15 +77,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-#: The words of a lower-cased text, and its distinct shingles of five of them.
-_SHINGLES = r"""list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))"""
+_WORDS = r"""list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w"""
+#: The distinct shingles of n words; an item of fewer than five words is one shingle.
+_SHINGLES = "list_distinct(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' ')))"
 OP3_SQL = rf"""
-WITH d0 AS (SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-i0 AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
-d AS (SELECT doc_id, unnest({_SHINGLES}) AS g FROM d0),
-i AS (SELECT item_id, {_SHINGLES} AS gs FROM i0),
-ig AS (SELECT item_id, len(gs) AS total, unnest(gs) AS g FROM i),
-m AS (SELECT d.doc_id, ig.item_id, any_value(ig.total) AS total, count(DISTINCT ig.g) AS matched FROM d JOIN ig USING (g) GROUP BY 1, 2)
+WITH d0 AS (SELECT DISTINCT doc_id, {_WORDS} FROM documents),
+i0 AS (SELECT *, least(len(w), 5) AS n FROM (SELECT DISTINCT item_id, {_WORDS} FROM benchmark) WHERE len(w) > 0),
+d AS (SELECT doc_id, n, unnest({_SHINGLES}) AS g FROM d0, (SELECT DISTINCT n FROM i0) WHERE len(w) >= n),
+i AS (SELECT item_id, n, {_SHINGLES} AS gs FROM i0),
+ig AS (SELECT item_id, n, len(gs) AS total, unnest(gs) AS g FROM i),
+m AS (SELECT d.doc_id, ig.item_id, any_value(ig.total) AS total, count(DISTINCT ig.g) AS matched FROM d JOIN ig USING (n, g) GROUP BY 1, 2)
 SELECT doc_id, item_id, CAST(matched AS INT) AS matched, CAST(total AS INT) AS total, matched / total AS containment
 FROM m WHERE matched >= ceil(total * 0.8 - 1e-9)
 """
