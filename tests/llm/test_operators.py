@@ -4,6 +4,7 @@ and over nulls, empty and very long texts, repeated rows, empty tables and extra
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -473,7 +474,6 @@ def test_html_keeps_shorter_marked_parts():
 
 def test_html_query_keeps_articles(spark):
     import html as h
-    import re
 
     pages = {r["page_id"]: r["html"] for r in common.table(spark, SF, "pages").collect()}
     for r in queries.op5_html_text(spark, SF).collect():
@@ -588,6 +588,76 @@ def test_quality_odd_rows(spark):
     assert quality.classify(d.where("false")).count() == 0 and quality.drop_rejected(d.where("false")).count() == 0
 
 
+def test_quality_sample_is_the_same_with_one_id(spark):
+    texts = [(None if k % 2 else 7, " ".join(words(20, k // 3)) + ".") for k in range(300)]
+    d = docs(spark, texts)
+    a, b = (quality.fit(x, fit_rows=40) for x in (d, d.repartition(5)))
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.labels.table, b.labels.table)
+
+
+def _plain_statistics(text):
+    """The labellers' figures from their description, a letter and a word at a time."""
+    data = (text or "").encode()
+    w = data.split()
+    if not w:
+        return [0, 0, 0, 1, 0, 1, 0, 0, 0]
+    low, up, wide = (sum(f(c) for c in data) for f in (lambda c: 97 <= c <= 122, lambda c: 65 <= c <= 90, lambda c: c > 127))
+    sym, space, marks = (sum(c in x for c in data) for x in (b"#$%&*+<=>@[\\]^_`{|}~!", b" \t\n\r\x0b\x0c", b".,"))
+    lines = [x for x in data.split(b"\n") if x.strip()]
+    pairs = {(a, b) for a, b in zip(w, w[1:], strict=False)}
+    return [up / max(1, low + up + wide // 2), sym / max(1, len(data) - space), len(set(w)) / len(w), Counter(w).most_common(1)[0][1] / len(w), sum(a == b for a, b in zip(w, w[1:], strict=False)) / len(w), len(set(lines)) / max(1, len(lines)), len(pairs) / (len(w) - 1) if len(w) > 1 else 1.0, marks / len(w), math.log(len(w))]
+
+
+def _plain_em(patterns, rounds=200):
+    """EM a document at a time, over dictionaries."""
+    m = len(quality.LABELLERS)
+    prior, table = 0.8, [[[0.3, 0.1, 0.6], [0.01, 0.3, 0.69]] for _ in range(m)]
+
+    def good(p):
+        g, b = prior, 1 - prior
+        for j, v in enumerate(p):
+            g, b = g * table[j][1][v], b * table[j][0][v]
+        return g / (g + b)
+
+    for _ in range(rounds):
+        post = [good(p) for p in patterns]
+        new = [[[0.5] * 3 for _ in range(2)] for _ in range(m)]
+        for p, g in zip(patterns, post, strict=True):
+            for j, v in enumerate(p):
+                new[j][1][v] += g
+                new[j][0][v] += 1 - g
+        for j in range(m):
+            for y in range(2):
+                t = sum(new[j][y])
+                new[j][y] = [x / t for x in new[j][y]]
+            over = max(0.0, new[j][1][quality.JUNK] - quality.FALSE_ALARMS)
+            new[j][1][quality.JUNK] -= over
+            new[j][1][quality.ABSTAIN] += over
+        moved = max(abs(a - b) for x, y in zip(new, table, strict=True) for r, s in zip(x, y, strict=True) for a, b in zip(r, s, strict=True))
+        prior, table = min(0.99, max(0.01, sum(post) / len(post))), new
+        if moved < 1e-6:
+            break
+    return [good(p) for p in patterns], table
+
+
+def test_quality_against_brute_force(spark):
+    d = common.table(spark, SF, "documents")
+    texts = [r["text"] for r in d.collect()]
+    assert np.allclose([quality.statistics(t) for t in texts], [_plain_statistics(t) for t in texts])
+    patterns = [quality.votes(_plain_statistics(t)) for t in texts]
+    post, table = _plain_em(patterns)
+    model = quality.fit(d)
+    assert np.allclose(model.labels.table, table, atol=1e-6)
+    assert np.allclose(model.labels.posterior(np.array(patterns)), post, atol=1e-4)
+    # the scorer: at the optimum of its loss, and as the query says
+    x = np.stack([quality.features(t, quality.statistics(t)) for t in texts]).astype(float)
+    p = np.array([1 / (1 + math.exp(-(sum(a * b for a, b in zip(row, model.weights, strict=False)) + model.weights[-1]))) for row in x])
+    slope = np.append(x.T @ (p - post) / len(p), (p - post).mean())
+    assert np.abs(slope).max() < 0.01
+    got = {r["doc_id"]: r for r in quality.classify(d).collect()}
+    assert all(abs(got[r["doc_id"]]["quality_score"] - p[k]) < 1e-6 and got[r["doc_id"]]["keep"] == (p[k] >= 0.5) for k, r in enumerate(d.collect()) if abs(p[k] - 0.5) > 1e-6)
+
+
 def test_em_recovers_labellers():
     r = np.random.default_rng(0)
     y = r.random(20000) < 0.8
@@ -622,7 +692,12 @@ def test_chat_round_trip(spark):
         loss = "".join(x for *_, r, x in turns if r == "assistant")
         assert (got[c]["n_turns"], got[c]["loss_chars"]) == (len(turns), len(loss))
         assert got[c]["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest() and got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
-    assert {r["conv_id"]: len(r["formatted"]) for r in f.collect()} == {c: r["formatted_chars"] for c, r in got.items()}
+    for r in f.collect():
+        shown, texts = r["formatted"], [x for _, _, who, x in by[r["conv_id"]] if who == "assistant"]
+        assert len(shown) == got[r["conv_id"]]["formatted_chars"] and len(texts) == len(r["loss"])
+        back = lambda x: re.sub(r"([<\[])\\(\\*)(/?(?:s>|INST\]))", r"\1\2\3", x)
+        assert [back(shown[x["start"] : x["end"]]) for x in r["loss"]] == texts
+        assert [back(shown.encode()[x["from"] : x["upto"]].decode()) for x in r["loss"]] == texts
     assert chat.format_conversations(df.where("false")).count() == 0
 
 
@@ -768,6 +843,19 @@ def test_simhash_drop_keeps_one_row_of_each_component(spark):
 # pipeline
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns that are named like the operators' own helpers pass through as they are."""
+    odd = ["__n", "__fp", "__score", "__bad", "__key", "quality_score", "kept_id", "Kept_Key", "text_key", "leak_id", "leak_key", "key", "row", "fp"]
+    text = "The river, that rose in the night, fell by noon. Then people went back to the fields, and so on. "
+    given = [(k, text + " ".join(words(30, k % 7)) + ".", "en", "s", 0, *range(k, k + len(odd))) for k in range(20)]
+    d = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in odd))
+    items = spark.createDataFrame([(1, " ".join(words(30, 3)))], "item_id long, text string")
+    for out in (quality.drop_rejected(d), simhash.drop_near_duplicates(d), decontaminate.drop_contaminated(d, items)):
+        assert out.columns == d.columns and out.count()
+        assert {tuple(r) for r in out.collect()} <= set(given)
+    assert decontaminate.drop_contaminated(d, items).count() == 17
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 

@@ -51,6 +51,23 @@ def written(df: DataFrame, name: str) -> str:
     return path
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``written`` made, once nothing reads it any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
     executors, and gives Catalyst the exact size for its join choice."""

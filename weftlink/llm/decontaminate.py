@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, words
+from .common import free, staged, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -128,9 +128,11 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose own text holds no item, with all their columns. Rows that
-    share an id (null included) but not the text are decided one by one."""
+    share an id (null included) but not the text are decided one by one; columns of any
+    other name pass through as they are."""
     held = _verified(docs, items, threshold, SHINGLE, id_col, text_col, "item_id", "text")
     if held is None:
         return docs
-    bad = staged(_best(held, threshold, "id", "key", "item").select(F.col("id").alias("__bad"), F.col("key").alias("__key")).distinct(), "leaks")
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")) & (F.xxhash64(text_col) == F.col("__key")), "left_anti")
+    bid, bkey = free(docs, "leak_id", "leak_key")
+    bad = staged(_best(held, threshold, "id", "key", "item").select(F.col("id").alias(bid), F.col("key").alias(bkey)).distinct(), "leaks")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(bid)) & (F.xxhash64(text_col) == F.col(bkey)), "left_anti")

@@ -10,10 +10,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import free
 
 #: Hash buckets of the scorer.
 DIM = 1024
-#: Most documents the scorer is fitted on: those with the least id hashes.
+#: Most documents the scorer is fitted on: those with the least hashes of id and text.
 FIT_ROWS = 4096
 THRESHOLD = 0.5
 JUNK, GOOD, ABSTAIN = 0, 1, 2
@@ -194,13 +195,19 @@ class QualityModel:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> QualityModel:
     """The label model is fitted on the votes over every document, which reach the
     driver as counts of vote patterns (at most 3 to the number of labellers); the
-    scorer on the ``fit_rows`` documents with the least id hashes, by their posterior."""
+    scorer on the ``fit_rows`` documents with the least hashes of id and text, by their
+    posterior; equal rows are one of these, so an id that a third of all rows share is not
+    the sample, and reruns agree."""
     patterns = docs.groupBy(_vote_udf()(F.col(text_col)).alias("votes")).count().collect()
     grid = np.array([[int(c) for c in r["votes"]] for r in patterns], int).reshape(len(patterns), len(LABELLERS))
     model = fit_labels(grid, np.array([r["count"] for r in patterns], float))
-    rows = docs.select(F.xxhash64(F.col(id_col), F.lit(5)).alias("k"), F.col(text_col).alias("t"))
-    least = rows.select("k").orderBy("k").limit(fit_rows).agg(F.max("k")).first()[0]
-    sample = [] if least is None else rows.where(F.col("k") <= least).select(_sample_udf()(F.col("t")).alias("s")).select("s.votes", "s.x").limit(2 * fit_rows).collect()
+    # eight times as many by a share of the hashes' range, then the least of them
+    total = sum(r["count"] for r in patterns)
+    bound = min((1 << 63) - 1, -(1 << 63) + int(8 * fit_rows / max(1, total) * (1 << 64)))
+    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(5)).alias("k"), F.col(text_col).alias("t")).where(F.col("k") <= bound)
+    some = rows.groupBy("k").agg(F.first("t").alias("t")).orderBy("k").limit(fit_rows)
+    sample = some.select("k", _sample_udf()(F.col("t")).alias("s")).select("k", "s.votes", "s.x").collect()
+    sample.sort(key=lambda r: r["k"])
     if not sample:
         return QualityModel(model, np.zeros(DIM + 1))
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in sample])
@@ -223,6 +230,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that reach the threshold, with all columns of ``docs``."""
-    kept = score(docs, fit(docs, id_col, text_col), text_col, "__score").where(F.col("__score") >= threshold)
+    """The rows that reach the threshold, with all columns of ``docs``, of whatever names."""
+    (out,) = free(docs, "quality_score")
+    kept = score(docs, fit(docs, id_col, text_col), text_col, out).where(F.col(out) >= threshold)
     return kept.select(*docs.columns)

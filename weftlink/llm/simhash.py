@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import staged
+from .common import free, staged
 from .components import components
 
 LOW = 0x5555555555555555
@@ -110,13 +110,15 @@ def hex_fingerprint(fp) -> F.Column:
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component stays, with all columns of ``docs``: that of the smallest
     id (null last), and of several texts of that id in the component the one with the
-    smallest hash. Rows that share an id but no component stay apart."""
+    smallest hash. Rows that share an id but no component stay apart. Null texts are like
+    empty ones; columns of any other name pass through as they are."""
     row = F.struct(F.col(id_col).isNull().alias("bare"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"))
     fps = docs.select(fingerprint_udf(F.col(text_col)).alias("fp"), row.alias("row"))
     nodes = staged(fps.groupBy("fp").agg(F.min("row").alias("row")), "simhash-nodes")
     roots = components(staged(links(nodes), "simhash-links"))
     of = nodes.join(roots, nodes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("row").alias("row"))
-    keep = staged(of.select(F.col("row.id").alias("__keep"), F.col("row.key").alias("__of")), "simhash-keep")
-    one = docs.withColumn("__key", F.xxhash64(text_col)).join(keep, F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__key") == F.col("__of")), "left_semi")
+    kid, kkey, key = free(docs, "kept_id", "kept_key", "text_key")
+    keep = staged(of.select(F.col("row.id").alias(kid), F.col("row.key").alias(kkey)), "simhash-keep")
+    one = docs.withColumn(key, F.xxhash64(text_col)).join(keep, F.col(id_col).eqNullSafe(F.col(kid)) & (F.col(key) == F.col(kkey)), "left_semi")
     # repeated rows of the kept id and text are one
-    return one.dropDuplicates([id_col, "__key"]).select(*docs.columns)
+    return one.dropDuplicates([id_col, key]).select(*docs.columns)

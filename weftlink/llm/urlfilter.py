@@ -63,7 +63,10 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     active = keys.join(rules, (F.col("key") == F.col("pattern")) & (F.col("salt") == F.col("rsalt")) & (F.col("since") <= F.col("fetched")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
     weight = F.struct(F.length(F.regexp_replace("pattern", "^=", "")).alias("l"), F.col("pattern").startswith("=").alias("exact"), F.col("pattern"), F.col("action"), F.col("since"))
     won = active.groupBy(F.col("host").alias("h"), F.col("fetched").alias("f")).agg(F.max(weight).alias("w"))
-    out = c.join(won, (F.col("host") == F.col("h")) & (F.col("fetched") == F.col("f")), "left")
+    # what cannot match passes the join by
+    asks = F.col("host").isNotNull() & F.col("fetched").isNotNull()
+    met = c.where(asks).join(won, (F.col("host") == F.col("h")) & (F.col("fetched") == F.col("f")), "left").select(*c.columns, "w")
+    out = met.unionByName(c.where(~asks).withColumn("w", F.lit(None).cast(won.schema["w"].dataType)))
     decision = F.when(F.col("w.action") == "block", "block").otherwise("keep")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.col("fetched").alias(time_col), "host", F.col("w.pattern").alias("pattern"), F.col("w.since").alias("since"), decision.alias("decision"))
 
