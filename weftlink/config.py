@@ -110,9 +110,22 @@ def _flat(tree: dict, at: str = "") -> dict[str, Any]:
     return out
 
 
-def fingerprint(cfg: Config, parts: tuple[str, ...] = ()) -> str:
-    """Digest of the settings a stage depends on (all if none are named)."""
-    tree = asdict(cfg)
+def inputs_key(spark: SparkSession, paths: list[str]) -> str:
+    """IO16: digest of names, lengths and times of all files under the paths: a stage under
+    this key is made again when its inputs change."""
+    conf, seen = spark._jsc.hadoopConfiguration(), []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = p.getFileSystem(conf).listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.md5(repr(sorted(seen)).encode()).hexdigest()[:12]
+
+
+def fingerprint(cfg: Config, parts: tuple[str, ...] = (), more: dict | None = None) -> str:
+    """Digest of the settings a stage depends on (all if none are named), and of ``more``."""
+    tree = asdict(cfg) | (more or {})
     return hashlib.md5(json.dumps({k: tree[k] for k in parts} if parts else tree, sort_keys=True, default=str).encode()).hexdigest()[:12]
 
 

@@ -70,12 +70,23 @@ def auc_logloss(rows: DataFrame, label: str, p: str) -> DataFrame:
     return d.agg(F.when(both, F.round(auc, 6)).alias("auc"), F.when(both, F.round(F.sum("loss") / n, 6)).alias("logloss"), n.alias("n"))
 
 
+def listwise_loss(pairs: DataFrame, z: str, label: str, group: str = "i") -> DataFrame:
+    """ML8: mean over the groups of the cross entropy of their labels' shares (all on "none" where
+    no label is 1) and the softmax of their logits with "none" at 0."""
+    top = F.greatest(F.max(z), F.lit(0.0))
+    g = pairs.groupBy(group).agg(top.alias("t"), F.collect_list(z).alias("z"), F.sum(label).alias("n"), F.sum(F.when(F.col(label) == 1, F.col(z))).alias("zp"))
+    total = F.aggregate("z", F.exp(-F.col("t")), lambda s, x: s + F.exp(x - F.col("t")))
+    g = g.select((F.col("t") + F.ln(total) - F.when(F.col("n") > 0, F.col("zp") / F.col("n")).otherwise(0.0)).alias("l"))
+    return g.agg(F.avg("l").alias("loss"), F.count("*").alias("n"))
+
+
 def mine_abbreviations(pairs: DataFrame, a: str, b: str, least: int = 5) -> DataFrame:
     """(short, long, n) rules: tokens of one side only that abbreviate tokens of the
     other side only, at least so often; of each short form the commonest long one."""
-    from weftlink.functions.normalize import tokens
+    from weftlink.functions.normalize import basic, tokens
 
-    t = pairs.select(tokens(F.col(a)).alias("a"), tokens(F.col(b)).alias("b"))
+    # tokens of the common form, each text's once
+    t = pairs.select(tokens(basic(F.col(a))).alias("a"), tokens(basic(F.col(b))).alias("b"))
     left, right = F.array_except("a", "b"), F.array_except("b", "a")
     x = t.select(left.alias("l"), right.alias("r")).select(F.explode("l").alias("x"), "r").select("x", F.explode("r").alias("y"))
     both = x.unionByName(x.select(F.col("y").alias("x"), F.col("x").alias("y")))

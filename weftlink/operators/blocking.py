@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftlink.functions.normalize import tokens
+from weftlink.staging import staged
 
 VIEWS = ("name", "addr", "mix")
 BITS = {("full", "s1"): 0, ("name", "s1"): 1, ("addr", "s1"): 2, ("full", "rec"): 3, ("name", "rec"): 4, ("addr", "rec"): 5}
@@ -56,50 +57,63 @@ def idf(toks: DataFrame, sizes: DataFrame, max_df: int) -> DataFrame:
 
 def budget_cut(stats: DataFrame, budget: float) -> DataFrame:
     """``alive`` ends for the most frequent tokens of a group and view while the
-    products of those that are left exceed the budget."""
-    cost = F.col("df_a") * F.col("df_b")
+    products of those that are left exceed the budget. Frequencies are few: their costs are
+    summed up from the top, and tokens are put in order only within the one frequency that
+    straddles the budget."""
+    live = stats.where("alive").withColumn("cost", F.col("df_a") * F.col("df_b"))
+    level = live.groupBy("grp", "view", "df").agg(F.sum("cost").alias("c"))
     w = Window.partitionBy("grp", "view")
-    order = w.orderBy(F.desc("df"), "tok")
-    live = stats.where("alive").withColumn("cost", cost)
-    cum = F.sum("cost").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    cut = live.withColumn("over", F.sum("cost").over(w) - F.lit(budget)).withColumn("before", F.coalesce(cum, F.lit(0)))
-    return cut.withColumn("alive", ~((F.col("over") > 0) & (F.col("before") < F.col("over")))).drop("over", "before", "cost")
+    above = F.coalesce(F.sum("c").over(w.orderBy(F.desc("df")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    level = level.select("grp", "view", "df", "c", (F.sum("c").over(w) - F.lit(budget)).alias("over"), above.alias("above"))
+    d = live.join(level, ["grp", "view", "df"])
+    over, straddles = F.col("over") > 0, (F.col("over") > F.col("above")) & (F.col("over") <= F.col("above") + F.col("c"))
+    order = Window.partitionBy("grp", "view", "df").orderBy("tok").rowsBetween(Window.unboundedPreceding, -1)
+    part = d.where(over & straddles).withColumn("before", F.col("above") + F.coalesce(F.sum("cost").over(order), F.lit(0)))
+    part = part.withColumn("alive", F.col("before") >= F.col("over")).select(*stats.columns)
+    rest = d.where(~(over & straddles)).withColumn("alive", ~over | (F.col("above") >= F.col("over"))).select(*stats.columns)
+    return rest.unionByName(part)
 
 
 def weights(toks: DataFrame, stats: DataFrame) -> DataFrame:
-    """(grp, view, tok, side, id, idf, w): w is the row's share of unit length over
-    its alive tokens of the view."""
+    """(grp, view, tok, side, id, w, nz): w is the row's share of unit length over its
+    alive tokens of the view, nz in how many views it has any. One shuffle by row."""
     alive = toks.join(stats.where("alive").select("grp", "view", "tok", "idf"), ["grp", "view", "tok"])
-    norm = F.sqrt(F.sum(F.col("idf") * F.col("idf")).over(Window.partitionBy("grp", "view", "side", "id")))
-    return alive.withColumn("w", F.col("idf") / norm)
+    row = Window.partitionBy("grp", "side", "id")
+    sums = {v: F.sum(F.when(F.col("view") == v, F.col("idf") * F.col("idf"))).over(row) for v in VIEWS}
+    d = alive.select("*", *(s.alias(f"s_{v}") for v, s in sums.items()))
+    own = F.coalesce(*(F.when(F.col("view") == v, F.col(f"s_{v}")) for v in VIEWS))
+    nz = sum((F.col(f"s_{v}").isNotNull().cast("int") for v in VIEWS), F.lit(0))
+    return d.select("grp", "view", "tok", "side", "id", (F.col("idf") / F.sqrt(own)).alias("w"), nz.alias("nz"))
 
 
 def similarities(w: DataFrame) -> DataFrame:
-    """(grp, i, j, cos_<view>..., bs_full) for every pair that shares an alive
+    """(grp, i, j, bs_full, bs_<view>...) for every pair that shares an alive
     token. The full score is the cosine over the views put side by side: their cosines'
-    sum over the root of both rows' numbers of views."""
-    a = w.where("side = 'a'").select("grp", "view", "tok", F.col("id").alias("i"), F.col("w").alias("wa"))
-    b = w.where("side = 'b'").select("grp", "view", "tok", F.col("id").alias("j"), F.col("w").alias("wb"))
+    sum over the root of both rows' numbers of views. The weights are staged, as both sides
+    of the join read them."""
+    w = staged(w, "weights")
+    a = w.where("side = 'a'").select("grp", "view", "tok", F.col("id").alias("i"), F.col("w").alias("wa"), F.col("nz").alias("na"))
+    b = w.where("side = 'b'").select("grp", "view", "tok", F.col("id").alias("j"), F.col("w").alias("wb"), F.col("nz").alias("nb"))
     dot = F.col("wa") * F.col("wb")
     sums = [F.coalesce(F.sum(F.when(F.col("view") == v, dot)), F.lit(0.0)).alias(f"bs_{v}") for v in VIEWS]
-    pairs = a.join(b, ["grp", "view", "tok"]).groupBy("grp", "i", "j").agg(*sums)
-    nz = w.groupBy("grp", "side", "id").agg(F.count_distinct("view").alias("nz"))
-    na = nz.where("side = 'a'").select("grp", F.col("id").alias("i"), F.col("nz").alias("na"))
-    nb = nz.where("side = 'b'").select("grp", F.col("id").alias("j"), F.col("nz").alias("nb"))
-    full = (F.col("bs_name") + F.col("bs_addr") + F.col("bs_mix")) / F.sqrt(F.col("na") * F.col("nb"))
-    return pairs.join(na, ["grp", "i"]).join(nb, ["grp", "j"]).select("grp", "i", "j", full.alias("bs_full"), *(f"bs_{v}" for v in VIEWS))
+    pairs = a.join(b, ["grp", "view", "tok"]).groupBy("grp", "i", "j").agg(*sums, F.max(F.col("na") * F.col("nb")).alias("nn"))
+    full = (F.col("bs_name") + F.col("bs_addr") + F.col("bs_mix")) / F.sqrt("nn")
+    return pairs.select("grp", "i", "j", full.alias("bs_full"), *(f"bs_{v}" for v in VIEWS))
 
 
 def candidates(sims: DataFrame, k_s1: dict, k_rec: dict, digits: int = 12) -> DataFrame:
     """Pairs among the best k of either side in any view, with the mask of
-    those (``found``); ties go to smaller ids. Of a pair in several groups the first stays."""
+    those (``found``); ties go to smaller ids. Of a pair in several groups the first stays.
+    The three ranks of a side share a shuffle."""
     s = sims
-    for (view, side), bit in BITS.items():
+    for side in ("s1", "rec"):
         key, other = ("i", "j") if side == "s1" else ("j", "i")
-        score = F.round(f"bs_{view}", digits)
-        rank = F.row_number().over(Window.partitionBy("grp", key).orderBy(score.desc(), other))
-        k = (k_s1 if side == "s1" else k_rec)[view]
-        s = s.withColumn(f"__b{bit}", F.when((rank <= k) & (F.col(f"bs_{view}") > 0), 1 << bit).otherwise(0))
+        ranks = {}
+        for (view, of), bit in BITS.items():
+            if of == side:
+                rank = F.row_number().over(Window.partitionBy("grp", key).orderBy(F.round(f"bs_{view}", digits).desc(), other))
+                ranks[f"__b{bit}"] = F.when((rank <= (k_s1 if side == "s1" else k_rec)[view]) & (F.col(f"bs_{view}") > 0), 1 << bit).otherwise(0)
+        s = s.select("*", *(c.alias(n) for n, c in ranks.items()))
     found = sum((F.col(f"__b{bit}") for bit in BITS.values()), F.lit(0)).cast("smallint")
     kept = s.withColumn("found", found).where("found > 0").drop(*(f"__b{b}" for b in BITS.values()))
     first = Window.partitionBy("i", "j").orderBy("grp")
@@ -148,10 +162,10 @@ def generate(records: DataFrame, cfg) -> DataFrame:
     """Candidates of normalized records (id, src, cty, n_*, a_*) with all blocking scores."""
     r = with_groups(records, within=cfg.within_country).withColumn("side", F.when(F.col("src") == 1, "a").otherwise("b"))
     sizes = r.groupBy("grp").agg(F.count("*").alias("n"))
-    toks = token_views(r, ["grp", "side", "id"])
-    stats = idf(toks, sizes, cfg.max_df)
+    toks = staged(token_views(r, ["grp", "side", "id"]), "tokens")
+    stats = staged(idf(toks, sizes, cfg.max_df), "token-stats")
     alive = budget_cut(stats, cfg.max_products)
-    pairs = candidates(similarities(weights(toks, alive)), cfg.k_s1, cfg.k_rec)
+    pairs = staged(candidates(similarities(weights(toks, alive)), cfg.k_s1, cfg.k_rec), "candidates")
     for view in ("name", "addr"):
-        pairs = overlap_mass(pairs, toks, stats, view)
+        pairs = staged(overlap_mass(pairs, toks, stats, view), f"overlap-{view}")
     return pairs

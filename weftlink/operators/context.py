@@ -78,19 +78,21 @@ def group_pairs(rows: DataFrame, key: str, rid: str, most: int = 12) -> DataFram
     return a.join(b, (F.col("k") == F.col("k2")) & (F.col(f"a.{rid}") != F.col(f"b.{rid}"))).select("a", "b")
 
 
-def support(near: DataFrame, rid: str = "rid") -> DataFrame:
-    """Of pairs of rows (a, b, sim) with b's probability ``b.p`` and sources:
-    greatest similarity, greatest and summed similarity times probability, the same over
-    rows of another source, and the similarity to the likeliest other row."""
+def support(near: DataFrame) -> DataFrame:
+    """(i, j, ...) of each pair a that has others b (a, b, sim; both with i, j, p
+    and src): greatest similarity, greatest similarity times b's probability, over all and
+    over those of another source, their sum, and the similarity to the likeliest (of equals
+    the smallest) other."""
     sp = F.col("sim") * F.col("b.p")
     floor = lambda c: F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0))
     cross = F.col("a.src") != F.col("b.src")
-    return near.groupBy(F.col(f"a.{rid}").alias(rid)).agg(
+    rank = F.struct(-F.col("b.p"), F.col("b.i"), F.col("b.j"))
+    return near.groupBy(F.col("a.i").alias("i"), F.col("a.j").alias("j")).agg(
         floor(F.max("sim")).alias("nb_max_sim"),
         floor(F.max(sp)).alias("nb_support"),
         floor(F.max(F.when(cross, sp))).alias("nb_support_x"),
         F.sum(sp).alias("nb_support_sum"),
-        F.max_by("sim", F.struct(F.col("b.p"), -F.col(f"b.{rid}"))).alias("cmp_best_sim"),
+        F.min_by("sim", rank).alias("cmp_best_sim"),
     )
 
 
@@ -134,9 +136,18 @@ def learned_competition(cand: DataFrame) -> DataFrame:
 
 
 def batches(rows: DataFrame, country: str, key: str, size: int, seed: int = 42) -> DataFrame:
-    """O3: training batches of rows whose sort keys are near, in a random order of batches; the
-    incomplete last batch of each country is dropped."""
-    n = F.row_number().over(Window.partitionBy(country).orderBy(key, "id"))
-    out = rows.withColumn("__b", F.floor((n - 1) / size))
-    out = out.withColumn("__n", F.count("*").over(Window.partitionBy(country, "__b"))).where(F.col("__n") == size).drop("__n")
-    return out.withColumn("batch", F.xxhash64(F.lit(seed), F.col(country), F.col("__b"))).drop("__b")
+    """O3: training batches of rows whose sort keys are near: ``number`` within the country,
+    and ``batch``, by which they go in a random order; the incomplete last batch of each
+    country is dropped."""
+    # a row's number: the rows of its country before its range, which the ranges' counts give,
+    # and its place there; rows of one key go by a digest of the id, which parts them evenly
+    digest = F.md5(F.col("id").cast("string"))
+    d = rows.select("*", digest.alias("__d"), F.left(digest, F.lit(2)).alias("__r"))
+    here = [country, key, "__r"]
+    n = d.groupBy(*here).agg(F.count("*").alias("__m"))
+    by = Window.partitionBy(country).orderBy(key, "__r").rowsBetween(Window.unboundedPreceding, -1)
+    n = n.select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(here)), F.coalesce(F.sum("__m").over(by), F.lit(0)).alias("__pre"), F.sum("__m").over(Window.partitionBy(country)).alias("__all"))
+    d = d.join(n, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(here)])
+    at = F.col("__pre") + F.row_number().over(Window.partitionBy(*here).orderBy("__d", "id")) - 1
+    d = d.withColumn("number", F.floor(at / size)).where((F.col("number") + 1) * size <= F.col("__all"))
+    return d.select(*rows.columns, "number", F.xxhash64(F.lit(seed), F.col(country), F.col("number")).alias("batch"))

@@ -76,14 +76,14 @@ def string_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def learned_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """Six features of lower-cased raw texts."""
+    """Six features of lower-cased raw texts; -1 for addresses if a side has none."""
     from weftlink.functions.normalize import house_col
 
     g = gather(pairs, records.select("id", F.lower("name").alias("name"), F.lower("address").alias("addr")), ["name", "addr"])
     n, m, x, y = F.col("a.name"), F.col("b.name"), F.col("a.addr"), F.col("b.addr")
     h, k = house_col(x), house_col(y)
     eq = F.when((h == "") | (k == ""), -1).otherwise((h == k).cast("int"))
-    return g.select(*pairs.columns, S.token_set_udf(n, m).alias("name_tset"), S.ratio_udf(n, m).alias("name_ratio"), S.token_set_udf(x, y).alias("addr_tset"), S.partial_udf(x, y).alias("addr_partial"), eq.alias("house_eq"), (y == "").cast("int").alias("addr_empty"))
+    return g.select(*pairs.columns, S.token_set_udf(n, m).alias("name_tset"), S.ratio_udf(n, m).alias("name_ratio"), F.when((x == "") | (y == ""), -1.0).otherwise(S.token_set_udf(x, y)).alias("addr_tset"), F.when((x == "") | (y == ""), -1.0).otherwise(S.partial_udf(x, y)).alias("addr_partial"), eq.alias("house_eq"), (y == "").cast("int").alias("addr_empty"))
 
 
 def record_similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:

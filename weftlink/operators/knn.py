@@ -1,4 +1,4 @@
-"""Exact nearest neighbours inside a group, by blocks of matrix products (operators J16, A26, MX7, IO22)."""
+"""Exact nearest neighbours inside a group, by blocks of matrix products (operators J16, A26, MX7)."""
 
 from __future__ import annotations
 

@@ -1,14 +1,15 @@
-"""Boosted trees over pair features (operators ML1-ML6, A29, F9, F13, IO23, IO17)."""
+"""Boosted trees over pair features (operators ML1-ML4, A29, IO23)."""
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,8 +32,18 @@ def predict(model: PipelineModel, df: DataFrame, features: list[str], out: str =
     return model.transform(prepared(df, features)).select(*df.columns, p.alias(out))
 
 
-def fit(df: DataFrame, features: list[str], label: str = "label", **kw) -> PipelineModel:
-    return pipeline(features, label, **kw).fit(prepared(df.withColumn(label, F.col(label).cast("double")), features))
+def fit(df: DataFrame, features: list[str], label: str = "label", stop: str | None = "i", share: float = 0.1, **kw) -> PipelineModel:
+    """ML1: with ``stop`` (an entity's column) the rounds stop by the pairs of a hashed share
+    of the entities, if both they and the rest hold both classes; labels of one class only
+    are an error."""
+    d = df.withColumn(label, F.col(label).cast("double"))
+    held = F.pmod(F.xxhash64(F.col(stop), F.lit(17)), F.lit(1000)) < int(1000 * share) if stop in df.columns else F.lit(False)
+    d = d.withColumn("__held", held)
+    n = {r["__held"]: (r["lo"], r["hi"]) for r in d.groupBy("__held").agg(F.min(label).alias("lo"), F.max(label).alias("hi")).collect()}
+    if min(x[0] for x in n.values()) == max(x[1] for x in n.values()):
+        raise RuntimeError("the labels are all the same")
+    both = len(n) == 2 and all(lo < hi for lo, hi in n.values())
+    return pipeline(features, label, holdout="__held" if both else None, **kw).fit(prepared(d, features))
 
 
 def out_of_fold(df: DataFrame, features: list[str], label: str = "label", fold: str = "fold", **kw) -> DataFrame:
@@ -54,12 +65,15 @@ def importances(model: PipelineModel, features: list[str]) -> dict[str, float]:
     return {f: float(v[i] + v[i + len(features)]) for i, f in enumerate(features)}
 
 
-def stack(df: DataFrame, features: list[str], score: str, label: str = "label", fold: str = "fold", **kw) -> DataFrame:
-    """ML5: the second model: pair features, the first score's logit and its competition."""
-    from weftlink.functions.exprs import logit
+def save(model: PipelineModel, features: list[str], path: str, **more) -> None:
+    """IO23: a model, with its features and what else belongs to it (a threshold, say)."""
+    from weftlink.sources import write_json
 
-    from .context import competition
+    model.write().overwrite().save(f"{path}/model")
+    write_json(SparkSession.active(), f"{path}/meta", {"features": features, **more})
 
-    c = competition(df.withColumn("__z", logit(F.col(score))), "__z")
-    more = [n for n in c.columns if n.startswith("cx_") or n == "z"]
-    return out_of_fold(c, [*features, *more], label, fold, **kw).select(*df.columns, F.col("p").alias("p2"))
+
+def load(path: str) -> tuple[PipelineModel, dict]:
+    """IO23: what ``save`` wrote."""
+    meta = SparkSession.active().read.text(f"{path}/meta").first()[0]
+    return PipelineModel.load(f"{path}/model"), json.loads(meta)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftlink.config import Blocking
 from weftlink.operators import blocking as B
+from weftlink.staging import staged
 
 from .common import collector, table
 
@@ -40,9 +41,15 @@ def _stats(spark: SparkSession, d: str, max_df: int = MAX_DF) -> DataFrame:
 
 
 def _sims(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None, views: tuple[str, ...] = B.VIEWS) -> DataFrame:
-    toks = _tokens(spark, d).where(F.col("view").isin(*views))
-    stats = B.idf(toks, _sizes(spark, d), max_df)
-    return B.similarities(B.weights(toks, stats if budget is None else B.budget_cut(stats, budget)))
+    """Similarities; documents are read once for the tokens, which are staged, and once for the sizes."""
+    return _parts(spark, d, max_df, budget, views)[0]
+
+
+def _parts(spark: SparkSession, d: str, max_df: int, budget: float | None, views: tuple[str, ...] = B.VIEWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    toks = staged(_tokens(spark, d).where(F.col("view").isin(*views)), "tokens")
+    stats = staged(B.idf(toks, _sizes(spark, d), max_df), "token-stats")
+    sims = B.similarities(B.weights(toks, stats if budget is None else B.budget_cut(stats, budget)))
+    return sims, toks, stats
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
@@ -144,8 +151,8 @@ SELECT c.i, c.j, round(coalesce(s, 0), 6) AS name_shared, round(greatest(coalesc
 FROM cand c LEFT JOIN sh USING (grp, i, j) LEFT JOIN tot ma ON ma.grp = c.grp AND ma.side = 'a' AND ma.id = c.i LEFT JOIN tot mb ON mb.grp = c.grp AND mb.side = 'b' AND mb.id = c.j""")
 def overlap_mass(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
     """A16."""
-    c = B.candidates(_sims(spark, d, max_df, budget), K_S1, K_REC)
-    m = B.overlap_mass(c, _tokens(spark, d), _stats(spark, d, max_df), "name")
+    sims, toks, stats = _parts(spark, d, max_df, budget)
+    m = B.overlap_mass(staged(B.candidates(sims, K_S1, K_REC), "candidates"), toks, stats, "name")
     return m.select("i", "j", *(F.round(x, 6).alias(x) for x in ("name_shared", "name_unm_a", "name_unm_b")))
 
 
@@ -154,7 +161,7 @@ t AS (SELECT truth.i, truth.j, max(sim.i IS NOT NULL) AS near, max(cand.i IS NOT
 SELECT count(*) AS true_pairs, round(avg(hit::INT), 5) AS retrieved, round(avg((NOT near AND NOT hit)::INT), 5) AS unreachable, round(avg((near AND NOT hit)::INT), 5) AS ranked_out, round(avg(near::INT), 5) AS reach_ceiling FROM t""")
 def miss_diagnosis(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
     """J19, A17."""
-    s = _sims(spark, d, max_df, budget)
+    s = staged(_sims(spark, d, max_df, budget), "similarities")
     return B.diagnose(_truth(spark, d), s, B.candidates(s, K_S1, K_REC))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftlink.functions import exprs as E
 from weftlink.operators import audit, context, decide, knn, models
-from weftlink.sources import check_lists, explode_ids, join_ids
+from weftlink.sources import check_lists, explode_ids, join_ids, known_pairs
 
 from .common import collector, table
 
@@ -118,7 +118,11 @@ def oracle_f05(spark: SparkSession, d: str) -> DataFrame:
     return decide.oracle(_entities(spark, d), _pairs(spark, d))
 
 
-@query()
+@query(f"""WITH {_PAIRS}, q AS (SELECT i, list(greatest(least(p, 1 - 1e-6), 1e-6) ORDER BY p DESC, j) AS q, count(*) AS n FROM pairs GROUP BY 1),
+m AS (SELECT i, q, n, unnest(range(0, CAST(1 AS BIGINT) << n)) AS m FROM q),
+w AS (SELECT i, n, m, list_aggregate(list_transform(range(0, n), lambda x: CASE WHEN (m >> x) & 1 = 1 THEN q[x + 1] ELSE 1 - q[x + 1] END), 'product') AS w, bit_count(m) AS t FROM m),
+f AS (SELECT i, k, sum(w * CASE WHEN k = 0 THEN (t = 0)::INT ELSE 1.25::DOUBLE * bit_count(m & ((CAST(1 AS BIGINT) << k) - 1)) / (0.25::DOUBLE * t + k) END) AS f FROM (SELECT *, unnest(range(0, n + 1)) AS k FROM w) GROUP BY 1, 2)
+SELECT i, k FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY round(f, 12) DESC, k) AS r FROM f) WHERE r = 1""")
 def expected_f_select(spark: SparkSession, d: str) -> DataFrame:
     """MX3, MX4, W7: the number of records of each entity with the best expected F0.5."""
     return decide.select(_pairs(spark, d), "p", "expected_f", 1.0, 0.0).groupBy("i").agg(F.sum(F.col("sel").cast("int")).alias("k"))
@@ -131,14 +135,15 @@ def policy_tuning(spark: SparkSession, d: str) -> DataFrame:
     return decide.tune(decide.grid_scores(e, _pairs(spark, d), "p"))
 
 
-@query(f"""WITH {_PAIRS}, c AS (SELECT *, count(*) OVER (PARTITION BY i) AS n FROM pairs), f AS (SELECT * FROM c WHERE n BETWEEN 2 AND 12)
-SELECT a.i, a.j, count(*) AS n, round(max(b.p), 6) AS best, round(max(CASE WHEN a.src <> b.src THEN b.p END), 6) AS best_x, round(sum(b.p), 6) AS total, max_by(b.j, (b.p, -b.j)) AS likeliest
-FROM f a JOIN f b ON a.i = b.i AND a.j <> b.j GROUP BY 1, 2""")
+@query(f"""WITH {_PAIRS}, c AS (SELECT *, count(*) OVER (PARTITION BY i) AS n FROM pairs), f AS (SELECT * FROM c WHERE n BETWEEN 2 AND 12),
+n AS (SELECT a.i, a.j, b.j AS o, b.p, a.src <> b.src AS x, 1 / (1.0::DOUBLE + abs(a.src - b.src) / 7.3::DOUBLE) AS sim FROM f a JOIN f b ON a.i = b.i AND a.j <> b.j)
+SELECT i, j, round(max(sim), 6) AS nb_max_sim, round(max(sim * p), 6) AS nb_support, round(coalesce(max(sim * p) FILTER (x), 0), 6) AS nb_support_x, round(sum(sim * p), 6) AS nb_support_sum, round(arg_max(sim, (p, -o)), 6) AS cmp_best_sim
+FROM n GROUP BY 1, 2""")
 def neighbour_selfjoin(spark: SparkSession, d: str) -> DataFrame:
     """A pair's support by the other pairs of its entity."""
-    n = context.group_pairs(_pairs(spark, d), "i", "j")
-    p, q = F.col("b.p"), F.col("b.j")
-    return n.groupBy(F.col("a.i").alias("i"), F.col("a.j").alias("j")).agg(F.count("*").alias("n"), F.round(F.max(p), 6).alias("best"), F.round(F.max(F.when(F.col("a.src") != F.col("b.src"), p)), 6).alias("best_x"), F.round(F.sum(p), 6).alias("total"), F.max_by(q, F.struct(p, -q)).alias("likeliest"))
+    near = context.group_pairs(_pairs(spark, d), "i", "j")
+    near = near.withColumn("sim", 1 / (1 + F.abs(F.col("a.src") - F.col("b.src")) / 7.3))
+    return _round(context.support(near), "nb_max_sim", "nb_support", "nb_support_x", "nb_support_sum", "cmp_best_sim")
 
 
 @query(f"""WITH {_PAIRS}, z AS (SELECT *, ln(p / (1 - p)) AS z FROM pairs), r AS (SELECT *, row_number() OVER (PARTITION BY j ORDER BY z DESC, i) AS rank, z - max(z) OVER (PARTITION BY j) AS gap,
@@ -204,22 +209,49 @@ def matched_not_in_candidates(spark: SparkSession, d: str) -> DataFrame:
     return p.where("p >= 0.5").select("i", "j").join(c, ["i", "j"], "left_anti")
 
 
-@query(f"""WITH {_PAIRS}, {_ENT}, m AS (SELECT * FROM pairs WHERE p >= 0.5)
-SELECT (SELECT count(*) FROM ent WHERE i NOT IN (SELECT i FROM m)) AS matches_missing, 0::BIGINT AS matches_unknown, 0::BIGINT AS matches_bad_ids, 0::BIGINT AS not_candidates""")
+@query(f"""WITH {_PAIRS}, {_ENT}, r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY p DESC, j) AS k FROM pairs),
+c AS (SELECT i, j FROM r WHERE k <= 3), m AS (SELECT i, j FROM r WHERE p >= 0.5 OR k = 1 AND i % 3 = 0),
+x AS (SELECT i AS key, j AS id FROM m UNION ALL SELECT i, -1 FROM m WHERE i % 50 = 0 UNION ALL SELECT i, j FROM m WHERE i % 70 = 0),
+k AS (SELECT DISTINCT key FROM x), l AS (SELECT key FROM k UNION ALL SELECT key FROM k WHERE key % 90 = 0 UNION ALL SELECT -5),
+y AS (SELECT key, id FROM x UNION ALL SELECT key, id FROM x WHERE key % 90 = 0)
+SELECT (SELECT count(*) FROM ent WHERE i NOT IN (SELECT key FROM l)) AS matches_missing, (SELECT count(*) FROM l WHERE key NOT IN (SELECT i FROM ent)) AS matches_unknown,
+  (SELECT count(*) FROM (SELECT key FROM l GROUP BY 1 HAVING count(*) > 1)) AS matches_repeated, (SELECT count(*) FROM y WHERE id NOT IN (SELECT j FROM pairs)) AS matches_bad_ids,
+  (SELECT count(*) FROM (SELECT key, id FROM y GROUP BY 1, 2 HAVING count(*) > 1)) AS matches_twice, (SELECT count(*) FROM y ANTI JOIN c ON y.key = c.i AND y.id = c.j) AS not_candidates""")
 def submission_checks(spark: SparkSession, d: str) -> DataFrame:
-    """J11, J12, A28, X9."""
-    p = _pairs(spark, d)
-    as_list = lambda x: join_ids(x, "i", "j", [-F.col("p"), F.col("j")]).select(F.col("i").cast("string").alias("key"), "ids")
+    """Lists with planted faults: ids that are unknown or twice, keys that are
+    unknown or twice, matches that are no candidates."""
+    p = _pairs(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("i").orderBy(F.desc("p"), "j")))
+    as_list = lambda x: join_ids(x, "i", "j", [F.col("j")]).select(F.col("i").cast("string").alias("key"), "ids")
+    m = p.where("p >= 0.5 or (k = 1 and i % 3 = 0)").select("i", "j")
+    m = m.unionByName(m.where("i % 50 = 0").withColumn("j", F.lit(-1).cast("long"))).unionByName(m.where("i % 70 = 0"))
+    lists = as_list(m)
+    lists = lists.unionByName(lists.where("CAST(key AS LONG) % 90 = 0")).unionByName(spark.createDataFrame([("-5", "")], "key string, ids string"))
     s1 = _entities(spark, d).select(F.col("i").cast("string").alias("entity_id"))
-    out = check_lists(as_list(p.where("p >= 0.5")), as_list(p), s1, p.select(F.col("j").cast("string").alias("entity_id")).distinct())
-    keys = ("matches_missing", "matches_unknown", "matches_bad_ids", "not_candidates")
+    out = check_lists(lists, as_list(p.where("k <= 3")), s1, p.select(F.col("j").cast("string").alias("entity_id")).distinct())
+    keys = ("matches_missing", "matches_unknown", "matches_repeated", "matches_bad_ids", "matches_twice", "not_candidates")
     return spark.createDataFrame([tuple(out[k] for k in keys)], ", ".join(f"{k} long" for k in keys))
 
 
+@query("SELECT DISTINCT l_orderkey AS key, l_partkey AS id FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O') AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 10)")
+def known_id_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """J1, IO4: pairs whose both ends are known."""
+    p = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_partkey").alias("id")).distinct()
+    left = table(spark, d, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("entity_id"))
+    return known_pairs(p, left, table(spark, d, "part").where("p_size > 10").select(F.col("p_partkey").alias("entity_id"))).select("key", "id")
+
+
+@query(f"""WITH {_PAIRS}, z AS (SELECT *, ln(p / (1 - p)) AS z, max(ln(p / (1 - p))) OVER (PARTITION BY i) AS t FROM pairs),
+g AS (SELECT i, greatest(max(t), 0) + ln(exp(-greatest(max(t), 0)) + sum(exp(z - greatest(t, 0)))) AS lse, sum(label) AS pos, sum(z) FILTER (label = 1) AS zp FROM z GROUP BY 1)
+SELECT round(avg(CASE WHEN pos > 0 THEN lse - zp / pos ELSE lse END), 6) AS loss, count(*) AS n FROM g""")
+def listwise_value(spark: SparkSession, d: str) -> DataFrame:
+    """ML8: the value of the listwise loss."""
+    return _round(audit.listwise_loss(_pairs(spark, d).withColumn("z", E.logit(F.col("p"))), "z", "label"), "loss")
+
+
 @query(f"""WITH {_PAIRS}, h AS (SELECT i, j, ((i * 2654435761) % 4294967296) / 4294967296.0::DOUBLE AS h FROM pairs)
 SELECT i, j, round(h, 9) AS h, CAST(floor(h * 4) AS BIGINT) % 4 AS shard, h < 0.1 AS es, (i * 2654435761) % 1000 < 100 AS held FROM h""")
 def hash_shards(spark: SparkSession, d: str) -> DataFrame:
-    """F12, F13, F17."""
+    """F12, F13."""
     h = E.hash01(F.col("i"))
     return _pairs(spark, d).select("i", "j", F.round(h, 9).alias("h"), (F.floor(h * 4) % 4).alias("shard"), (h < 0.1).alias("es"), E.holdout(F.col("i")).alias("held"))
 
@@ -236,7 +268,7 @@ cand AS (SELECT rec, s1, CAST(rank AS INT) AS rank, score FROM (SELECT *, row_nu
 
 @query(f"WITH {_KNN} SELECT rec, s1, rank, round(score, 6) AS score FROM cand")
 def knn_by_label(spark: SparkSession, d: str) -> DataFrame:
-    """J16, MX7, IO22: every vector not divisible by 4 against those that are, of its label."""
+    """J16, MX7: every vector not divisible by 4 against those that are, of its label."""
     base, rest = _vectors(spark, d)
     return _round(knn.exact_knn(base, rest, 20, "label"), "score").select("rec", "s1", "rank", "score")
 
@@ -276,6 +308,6 @@ def exact_auc_logloss(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def gbt_oof_scores(spark: SparkSession, d: str) -> DataFrame:
-    """ML1-ML4, A29: out-of-fold scores of labelled documents."""
+    """ML1, ML2: out-of-fold scores of labelled documents."""
     x = _scored_docs(spark, d).select("doc_id", "quality", F.col("n").cast("double").alias("n"), "marks", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("fold"))
     return models.out_of_fold(x, ["n", "marks"], "quality", rounds=5, depth=3).select("doc_id", "fold", "quality", "p")

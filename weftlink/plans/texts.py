@@ -82,27 +82,74 @@ def token_jaccard(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def string_similarity(spark: SparkSession, d: str) -> DataFrame:
-    """Scorers without a form in SQL; the tests hold them against definitions."""
+    """Scorers without a form in SQL; the tests hold them against definitions."""
     a, b = F.col("ni"), F.col("nj")
     return _names(spark, d).select("i", "j", *(F.round(u(a, b), 6).alias(n) for n, u in (("ratio", S.ratio_udf), ("token_set", S.token_set_udf), ("token_sort", S.token_sort_udf), ("partial", S.partial_udf), ("weighted", S.weighted_udf))))
 
 
-@query()
+def _businesses(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as businesses: a legal form, an article and an address by the key."""
+    k = F.col("p_partkey")
+    form = F.element_at(F.array(*map(F.lit, ("", "Ltd", "Pvt. Ltd.", "& Co Inc", "Corporation"))), (k % 5 + 1).cast("int"))
+    name = F.concat_ws(" ", F.when(k % 3 == 0, "The"), "p_name", "p_type", form)
+    address = F.concat(F.col("p_size").cast("string"), F.lit(" MG Road, Near "), "p_type", F.lit(", New York "), (k % 90000 + 10000).cast("string"))
+    return table(spark, d, "part").select("p_partkey", name.alias("name"), address.alias("address"))
+
+
+def _map(words: dict[str, str]) -> str:
+    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in words.items()) + "}"
+
+
+def _replaced(c: str, pairs: dict[str, str]) -> str:
+    for k in sorted(pairs, key=len, reverse=True):
+        c = f"regexp_replace({c}, '\\b{k}\\b', '{pairs[k]}', 'g')"
+    return c
+
+
+_PLAIN = "trim(regexp_replace(regexp_replace(lower({}), '[^\\w\\s&#]|_', ' ', 'g'), '\\s+', ' ', 'g'))"
+_LIST = "list_filter(string_split({}, ' '), lambda x: x <> '')"
+_FORMS = "|".join(sorted(T.LEGAL))
+
+
+def _address(c: str) -> str:
+    words = _map({**T.ADDRESS_WORDS, **T.STATES, **T.ORDINALS})
+    return f"list_filter(list_transform({_LIST.format(_replaced(_PLAIN.format(c), T.STATE_PHRASES))}, lambda x: coalesce(map_extract({words}, x)[1], x)), lambda x: x <> '')"
+
+
+@query(rf"""WITH b AS (SELECT p_partkey, concat_ws(' ', CASE WHEN p_partkey % 3 = 0 THEN 'The' END, p_name, p_type, ['', 'Ltd', 'Pvt. Ltd.', '& Co Inc', 'Corporation'][p_partkey % 5 + 1]) AS name,
+  p_type AS kind, p_size || ' MG Road, Near ' || p_type || ', New York ' || (p_partkey % 90000 + 10000) AS address, CAST(p_partkey % 90000 + 10000 AS VARCHAR) AS code, 'Near ' || p_type || ' New York ' || (p_partkey % 90000 + 10000) AS ends FROM part),
+w AS (SELECT *, list_transform({_LIST.format(_PLAIN.format("name"))}, lambda x: coalesce(map_extract({_map(T.NAME_WORDS)}, x)[1], x)) AS w, {_address("address")} AS a, {_address("ends")} AS z FROM b),
+f AS (SELECT *, array_to_string(w, ' ') AS n_full, regexp_extract(' ' || array_to_string(w, ' '), '^(.*?)((?: (?:{_FORMS}|&|and))* (?:{_FORMS}))?$', 1) AS c, regexp_extract(' ' || array_to_string(w, ' '), '^(.*?)((?: (?:{_FORMS}|&|and))* (?:{_FORMS}))?$', 2) AS l FROM w),
+g AS (SELECT *, list_filter({_LIST.format("c")}, lambda x: x NOT IN ({", ".join(f"'{x}'" for x in sorted(T.NAME_STOP))})) AS core, {_LIST.format("l")} AS forms FROM f)
+SELECT p_partkey, n_full, array_to_string(core, ' ') AS n_core, array_to_string(list_sort(core), ' ') AS n_core_sorted,
+  CASE WHEN list_contains(forms, 'pvt') AND list_contains(forms, 'ltd') THEN 'pvtltd' {" ".join(f"WHEN list_contains(forms, '{k}') THEN '{k}'" for k in T.LEGAL_ORDER)} ELSE coalesce(list_min(forms), '') END AS n_legal,
+  array_to_string(list_transform(core, lambda x: left(x, 1)), '') AS n_acr, '' AS n_dba, '' AS n_digits,
+  array_to_string(list_transform(core, lambda w: {_skeleton_sql(T.FOLDS)}), ' ') AS n_skel, array_to_string(list_transform(core, lambda w: {_skeleton_sql(T.FOLDS | T.VOICED)}), ' ') AS n_skel2,
+  array_to_string(a, ' ') AS a_norm, array_to_string(list_filter(a, lambda x: NOT regexp_full_match(x, '\d+')), ' ') AS a_words, array_to_string(list_filter(a, lambda x: regexp_full_match(x, '\d+') AND x <> code), ' ') AS a_nums,
+  code AS a_postal, coalesce(list_filter(a, lambda x: regexp_full_match(x, '\d+') AND x <> code)[1], '') AS a_house, array_to_string(z, ' ') AS a_tail, {_PLAIN.format("kind")} AS a_landmark
+FROM g""")
 def normalized_records(spark: SparkSession, d: str) -> DataFrame:
-    """N1-N9, N13-N16, IO5: the parts' names and types as business names and addresses."""
-    p = table(spark, d, "part").select("p_partkey", N.normalized(F.col("p_name"), F.concat_ws(", ", F.col("p_size").cast("string"), "p_type", "p_brand")).alias("x"))
-    return p.select("p_partkey", "x.*")
+    """N1, N5-N10, N12-N16, IO5: parts as businesses."""
+    return N.normalized(_businesses(spark, d), "name", "address").drop("name", "address")
 
 
-@query()
+@query("""WITH t AS (SELECT list_distinct(list_filter(string_split(lower(p_name || ' ' || p_type), ' '), lambda x: x <> '')) AS a FROM part),
+s AS (SELECT a, list_distinct(list_transform(a, lambda x: left(x, 4))) AS b FROM t),
+x AS (SELECT list_filter(a, lambda x: NOT list_contains(b, x)) AS l, list_filter(b, lambda x: NOT list_contains(a, x)) AS r FROM s),
+p AS (SELECT x, unnest(r) AS y FROM (SELECT unnest(l) AS x, r FROM x)),
+q AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+n AS (SELECT x AS short, y AS long, count(*) AS n FROM q WHERE length(x) >= 2 AND length(x) < length(y) AND left(x, 1) = left(y, 1) AND (starts_with(y, x) OR regexp_full_match(y, array_to_string(string_split(x, ''), '.*'))) GROUP BY 1, 2 HAVING count(*) >= 5)
+SELECT short, long, n FROM (SELECT *, row_number() OVER (PARTITION BY short ORDER BY n DESC, long) AS k FROM n) WHERE k = 1""")
 def mined_abbreviations(spark: SparkSession, d: str) -> DataFrame:
-    """J20, A31, N11."""
-    return audit.mine_abbreviations(_names(spark, d), "ni", "nj", 1)
+    """Names against themselves with every word cut to four letters."""
+    p = table(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("a"))
+    cut = F.array_join(F.transform(N.tokens(F.col("a")), lambda t: F.left(t, F.lit(4))), " ")
+    return audit.mine_abbreviations(p.withColumn("b", cut), "a", "b", 5)
 
 
 @query(r"SELECT n_nationkey, lower(trim(regexp_replace(regexp_replace(n_name, '[^\p{L}\p{N}\s&#]', ' ', 'g'), '\s+', ' ', 'g'))) AS cty FROM nation")
 def country_keys(spark: SparkSession, d: str) -> DataFrame:
     """The distinct names are normalized once and joined back."""
     n = table(spark, d, "nation")
-    k = n.select("n_name").distinct().withColumn("cty", N.country_udf(F.col("n_name")))
+    k = n.select("n_name").distinct().withColumn("cty", N.country_key(F.col("n_name")))
     return n.join(k, "n_name").select("n_nationkey", "cty")

@@ -14,23 +14,30 @@ SOURCE = ["entity_id", "business_name", "business_address", "country"]
 TRUTH = ["source1_entity_id", "matched_entity_ids"]
 
 
-def read_tsv(spark: SparkSession, path: str, expect: list[str], strict: bool = True) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, expect: list[str], strict: bool = True, row_ix: bool = False) -> DataFrame:
     """IO1 / IO2: a tab-separated file with a header and no quoting, all text, never null.
 
     strict: rows with too many fields are repaired (of two columns the rest is joined by
     commas into the second; of more the surplus is joined by blanks into the last but
     one), rows with too few are filled with empty texts; blank lines are no rows. Not
-    strict: rows with too many fields are dropped. Missing columns are an error."""
-    lines = spark.read.text(path)
-    first = lines.select("value").first()
+    strict: rows with too many fields are dropped. Missing columns are an error.
+    ``row_ix`` orders the rows as the files have them. The header is the first line of each
+    file; later lines that look like it are data."""
+    at = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select("value", at.alias("row_ix"))
+    heads = lines.where("row_ix.start = 0").groupBy("row_ix.path").agg(F.min_by("value", "row_ix").alias("value"), F.min("row_ix.n").alias("n"))
+    heads = {r["path"]: (r["value"], r["n"]) for r in heads.collect()}
+    first = heads[min(heads)] if heads else None
     head = [c.strip() for c in (first[0] if first else "").lstrip("﻿").rstrip("\r").split("\t")]
     if missing := [c for c in expect if c not in head]:
         raise ValueError(f"{path} lacks {missing}")
     n = len(head)
     raw = F.regexp_replace("value", r"\r$", "")
-    rows = lines.where((F.regexp_replace(raw, "^﻿", "") != first[0].lstrip("﻿").rstrip("\r")) & (raw != ""))
+    place = F.struct(F.col("row_ix.path"), F.col("row_ix.start"), F.col("row_ix.n"))
+    is_head = place.isin(*(F.struct(F.lit(p).alias("path"), F.lit(0).cast("long").alias("start"), F.lit(n).cast("long").alias("n")) for p, (_, n) in heads.items()))
+    rows = lines.where(~is_head & (raw != ""))
     f = F.split(raw, "\t", -1)
-    rows = rows.select(f.alias("f")).withColumn("k", F.size("f"))
+    rows = rows.select("row_ix", f.alias("f")).withColumn("k", F.size("f"))
     if not strict:
         rows = rows.where(F.col("k") <= n)
     if n == 2:
@@ -38,13 +45,13 @@ def read_tsv(spark: SparkSession, path: str, expect: list[str], strict: bool = T
     else:
         long = F.concat(F.slice("f", 1, n - 2), F.array(F.array_join(F.slice("f", F.lit(n - 1), F.col("k") - (n - 1)), " ")), F.slice("f", -1, 1))
     f = F.when(F.col("k") > n, long).otherwise(F.col("f"))
-    rows = rows.select(f.alias("f"))
-    return rows.select(*(trim_all(F.coalesce(F.get("f", F.lit(head.index(c))), F.lit(""))).alias(c) for c in expect))
+    rows = rows.select("row_ix", f.alias("f"))
+    return rows.select(*(["row_ix"] if row_ix else []), *(trim_all(F.coalesce(F.get("f", F.lit(head.index(c))), F.lit(""))).alias(c) for c in expect))
 
 
 def union_sources(tables: list[DataFrame]) -> DataFrame:
     """IO3, U1, F2: records of all sources with their number (1 is the clean one)."""
-    tagged = [t.select("entity_id", F.col("business_name").alias("name"), F.col("business_address").alias("address"), "country", F.lit(k).cast("tinyint").alias("src")) for k, t in enumerate(tables, 1)]
+    tagged = [t.select("entity_id", F.col("business_name").alias("name"), F.col("business_address").alias("address"), "country", F.lit(k).cast("tinyint").alias("src"), *(["row_ix"] if "row_ix" in t.columns else [])) for k, t in enumerate(tables, 1)]
     return reduce(DataFrame.unionByName, tagged)
 
 
@@ -66,7 +73,7 @@ def explode_ids(rows: DataFrame, key: str, ids: str) -> DataFrame:
 
 
 def known_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs whose both ends are known ids (one column ``entity_id`` each)."""
+    """Pairs (key, id) whose both ends are known ids (one column ``entity_id`` each)."""
     a, b = left.select(F.col("entity_id").alias("key")).distinct(), right.select(F.col("entity_id").alias("id")).distinct()
     return pairs.join(a, "key", "left_semi").join(b, "id", "left_semi")
 
