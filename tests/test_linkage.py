@@ -72,6 +72,22 @@ def test_similarity_properties(a, b):
     assert S.jaro_winkler(a, b) == S.jaro_winkler(b, a) or abs(S.jaro_winkler(a, b) - S.jaro_winkler(b, a)) < 0.35
 
 
+def test_similarity_of_many_pairs():
+    r = np.random.default_rng(0)
+    word = lambda: "".join(r.choice(list("abcé😀"), r.integers(0, 7)))
+    text = lambda: " ".join(word() for _ in range(r.integers(0, 1 + r.choice([2, 5, 30]))))
+    a, b = [text() for _ in range(700)] + ["", "a", "", "x" * 64, "x" * 65, "ab " * 40], [text() for _ in range(700)] + ["", "", "b", "x" * 70, "y" + "x" * 80, "ba " * 50]
+    b[:50] = [x[::-1] for x in a[:50]]
+    for many, one in ((S.lcs_many, S.lcs), (S.ratio_many, S.ratio), (S.token_sort_many, S.token_sort_ratio), (S.token_set_many, S.token_set_ratio), (S.partial_many, S.partial_ratio), (S.weighted_many, S.weighted_ratio)):
+        want = [one(x, y) for x, y in zip(a, b, strict=True)]
+        bad = [(x, y, w, g) for x, y, w, g in zip(a, b, want, many(a, b), strict=True) if abs(w - g) > 1e-9]
+        assert not bad, (one.__name__, bad[:3])
+    names = lambda x: [t.replace(" ", "|", 1) if k % 3 else "" for k, t in enumerate(x)]
+    want = [S.dba_best(*row) for row in zip(names(a), a, names(b[::-1]), b, strict=True)]
+    got = S.dba_many(names(a), a, names(b[::-1]), b)
+    assert all(w is None and math.isnan(g) or w is not None and abs(w - g) < 1e-9 for w, g in zip(want, got, strict=True))
+
+
 def test_similarity_goldens():
     assert math.isclose(S.ratio("kitten", "sitting"), 200 * 4 / 13)
     assert S.token_set_ratio("a b", "c a b") == 100 and S.token_set_ratio("", "a") == 0
