@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftlink.staging import discard, fresh_dir, staged, written
+
+__all__ = ["SPACE", "WORD", "discard", "free", "fresh_dir", "open_store", "staged", "table", "words", "written"]
+
 #: ASCII white space as the contracts define it.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,25 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Only a local session without the setting gets a folder of its own; a cluster
-    without it is refused, as a machine-local folder would lose rows there."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="weftlink-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/weftlink/{name}-{uuid.uuid4().hex}"
-
-
 def open_store(uri: str):
     """(file system, path) of a URI or a local path, for tasks that write or read files of
     their own in the shared folder."""
@@ -44,19 +26,6 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
 
 
-def written(df: DataFrame, name: str) -> str:
-    """The folder of the shared folder that a table was written to, as Parquet."""
-    path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return path
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``written`` made, once nothing reads it any more."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def free(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores as it takes to be no column of ``df``."""
     taken = {c.lower() for c in df.columns}
@@ -68,12 +37,6 @@ def free(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost
-    executors, and gives Catalyst the exact size for its join choice."""
-    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
-
-
 def words(text) -> F.Column:
     """Array of the maximal runs without ASCII white space; null text has none."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACE)
