@@ -15,6 +15,8 @@ from weftlink.functions.normalize import country_key, normalized
 from weftlink.functions.similarity import token_set_udf
 from weftlink.sources import SOURCE, TRUTH, check_lists, explode_ids, first_of, folds, hash_sample, join_ids, known_pairs, read_tsv, union_sources, write_id_lists
 
+from weftlink.staging import staged
+
 from . import audit, blocking, context, decide, features, models
 
 
@@ -25,7 +27,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     u = first_of(u, "entity_id", ["src", "row_ix"])
     keys = u.select("country").distinct().withColumn("cty", country_key(F.col("country")))
     u = u.join(keys, "country").select(F.col("entity_id").alias("id"), "name", "address", "src", "cty")
-    u = normalized(u, "name", "address")
+    # staged, as the frequencies read it once more each
+    u = staged(normalized(u, "name", "address"), "normalized")
     one = F.col("src") == 1
     for name, key, when in (("f_name_s1", "n_core", one), ("f_name_r", "n_core", ~one), ("f_addr_s1", "a_norm", one)):
         u = audit.frequency(u, ["cty", key], when, name)
