@@ -117,8 +117,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     nodes = staged(fps.groupBy("fp").agg(F.min("row").alias("row")), "simhash-nodes")
     roots = components(staged(links(nodes), "simhash-links"))
     of = nodes.join(roots, nodes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("row").alias("row"))
-    kid, kkey, key = free(docs, "kept_id", "kept_key", "text_key")
-    keep = staged(of.select(F.col("row.id").alias(kid), F.col("row.key").alias(kkey)), "simhash-keep")
-    one = docs.withColumn(key, F.xxhash64(text_col)).join(keep, F.col(id_col).eqNullSafe(F.col(kid)) & (F.col(key) == F.col(kkey)), "left_semi")
-    # repeated rows of the kept id and text are one
-    return one.dropDuplicates([id_col, key]).select(*docs.columns)
+    kid, kkey, own, key = free(docs, "kept_id", "kept_key", "own_id", "text_key")
+    # ids that are never null, so that the join and what follows it need the same partitioning
+    name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+    keep = staged(of.select(name(F.col("row.id")).alias(kid), F.col("row.key").alias(kkey)), "simhash-keep")
+    # equal rows become one before the shuffle, so a text that a third of all rows hold is no task's work
+    one = docs.withColumns({own: name(F.col(id_col)), key: F.xxhash64(text_col)}).dropDuplicates([own, key])
+    return one.join(keep, (F.col(own) == F.col(kid)) & (F.col(key) == F.col(kkey)), "left_semi").select(*docs.columns)
