@@ -201,9 +201,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_row
     patterns = docs.groupBy(_vote_udf()(F.col(text_col)).alias("votes")).count().collect()
     grid = np.array([[int(c) for c in r["votes"]] for r in patterns], int).reshape(len(patterns), len(LABELLERS))
     model = fit_labels(grid, np.array([r["count"] for r in patterns], float))
-    # eight times as many by a share of the hashes' range, then the least of them
+    # three times as many by a share of the hashes' range, then the least of them
     total = sum(r["count"] for r in patterns)
-    bound = min((1 << 63) - 1, -(1 << 63) + int(8 * fit_rows / max(1, total) * (1 << 64)))
+    bound = min((1 << 63) - 1, -(1 << 63) + int(3 * fit_rows / max(1, total) * (1 << 64)))
     rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(5)).alias("k"), F.col(text_col).alias("t")).where(F.col("k") <= bound)
     some = rows.groupBy("k").agg(F.first("t").alias("t")).orderBy("k").limit(fit_rows)
     sample = some.select("k", _sample_udf()(F.col("t")).alias("s")).select("k", "s.votes", "s.x").collect()
