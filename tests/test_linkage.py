@@ -327,11 +327,12 @@ def test_whole_blocking_keeps_frequent_tokens(spark, tmp_path):
     docs = [(3 * k + side, t, "en", "s") for k, t in enumerate(texts) for side in (0, 1)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
     q = plans.queries()
-    r = q["recall_report_whole"](spark, str(tmp_path)).first()
+    r = q["recall_report"](spark, str(tmp_path)).first()
     assert r["recall"] == r["recall_name_s1"] == 1
-    assert q["miss_diagnosis_whole"](spark, str(tmp_path)).first()["unreachable"] == 0
-    assert q["token_df_idf_whole"](spark, str(tmp_path)).where("not alive").count() == 0
-    assert q["recall_report"](spark, str(tmp_path)).first()["recall"] == 0
+    assert q["miss_diagnosis"](spark, str(tmp_path)).first()["unreachable"] == 0
+    assert q["token_df_idf"](spark, str(tmp_path)).where("not alive").count() == 0
+    assert q["recall_report"](spark, str(tmp_path), 24).first()["recall"] == 0
+    assert 0 < q["budget_cut_tokens"](spark, str(tmp_path), budget=2000).where("alive").count() < q["budget_cut_tokens"](spark, str(tmp_path)).where("alive").count()
 
 
 def test_running_counts(spark):
@@ -378,7 +379,7 @@ def test_scoring_halves_batches_and_drops_nothing(spark):
 
 def test_whole_scores_cover_all_gated_pairs(spark):
     gated = plans.queries()["rerank_texts"](spark, SF).where("p1 > 0.35 and p1 < 0.9").select("i", "j", "shard")
-    scored = plans.queries()["rerank_scores_whole"](spark, SF).join(gated, ["i", "j"])
+    scored = plans.queries()["rerank_scores"](spark, SF).join(gated, ["i", "j"])
     assert scored.count() == gated.count() and {r["shard"] for r in scored.select("shard").distinct().collect()} == {0, 1, 2, 3}
 
 

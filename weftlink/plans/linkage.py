@@ -12,8 +12,9 @@ from weftlink.staging import staged
 from .common import collector, table
 
 QUERIES, SQL, query = collector()
-MAX_DF = 24
-K_S1, K_REC = {"full": 15, "name": 6, "addr": 6}, {"full": 8, "name": 3, "addr": 3}
+#: Production settings; the tests set smaller ones over small tables.
+MAX_DF, BUDGET = Blocking().max_df, Blocking().max_products
+K_S1, K_REC = Blocking().k_s1, Blocking().k_rec
 
 
 def _words(text) -> F.Column:
@@ -40,15 +41,15 @@ def _stats(spark: SparkSession, d: str, max_df: int = MAX_DF) -> DataFrame:
     return B.idf(_tokens(spark, d), _sizes(spark, d), max_df)
 
 
-def _sims(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None, views: tuple[str, ...] = B.VIEWS) -> DataFrame:
+def _sims(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET, views: tuple[str, ...] = B.VIEWS) -> DataFrame:
     """Similarities; documents are read once for the tokens, which are staged, and once for the sizes."""
     return _parts(spark, d, max_df, budget, views)[0]
 
 
-def _parts(spark: SparkSession, d: str, max_df: int, budget: float | None, views: tuple[str, ...] = B.VIEWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _parts(spark: SparkSession, d: str, max_df: int, budget: float, views: tuple[str, ...] = B.VIEWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     toks = staged(_tokens(spark, d).where(F.col("view").isin(*views)), "tokens")
     stats = staged(B.idf(toks, _sizes(spark, d), max_df), "token-stats")
-    sims = B.similarities(B.weights(toks, stats if budget is None else B.budget_cut(stats, budget)))
+    sims = B.similarities(B.weights(toks, B.budget_cut(stats, budget)))
     return sims, toks, stats
 
 
@@ -69,10 +70,14 @@ tok AS (
 sz AS (SELECT grp, count(*) AS n FROM d GROUP BY 1),
 st AS (SELECT grp, view, tok, count(*) FILTER (side = 'a') AS df_a, count(*) FILTER (side = 'b') AS df_b, count(*) AS df FROM tok GROUP BY 1, 2, 3),
 stats AS (SELECT st.*, ln((n + 1) / (df + 1)) + 1 AS idf FROM st JOIN sz USING (grp))"""
+_BUDGET = f"""c AS (SELECT *, df_a * df_b AS cost FROM stats WHERE df <= {MAX_DF}),
+cut AS (SELECT *, NOT (over > 0 AND before < over) AS alive FROM (SELECT *, sum(cost) OVER (PARTITION BY grp, view) - {BUDGET} AS over,
+  coalesce(sum(cost) OVER (PARTITION BY grp, view ORDER BY df DESC, tok ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c))"""
 _SIM = (
     _TOK
     + f""",
-al AS (SELECT tok.*, idf FROM tok JOIN stats USING (grp, view, tok) WHERE df <= {MAX_DF}),
+{_BUDGET},
+al AS (SELECT tok.*, idf FROM tok JOIN cut USING (grp, view, tok) WHERE alive),
 wt AS (SELECT *, idf / sqrt(sum(idf * idf) OVER (PARTITION BY grp, view, side, id)) AS w FROM al),
 dot AS (SELECT grp, a.id AS i, b.id AS j,
     coalesce(sum(a.w * b.w) FILTER (view = 'name'), 0) AS bs_name, coalesce(sum(a.w * b.w) FILTER (view = 'addr'), 0) AS bs_addr, coalesce(sum(a.w * b.w) FILTER (view = 'mix'), 0) AS bs_mix
@@ -92,24 +97,18 @@ truth AS (SELECT DISTINCT a.id AS i, b.id AS j FROM d a JOIN d b ON a.grp = b.gr
 
 
 @query(f"WITH {_TOK} SELECT grp, view, tok, df_a, df_b, df, round(idf, 6) AS idf, df <= {MAX_DF} AS alive FROM stats")
-def token_df_idf(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
+def token_df_idf(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """A11, A12, T1."""
     return _stats(spark, d, max_df).withColumn("idf", F.round("idf", 6))
 
 
-BUDGET = 2000
-
-
-@query(f"""WITH {_TOK},
-c AS (SELECT *, df_a * df_b AS cost FROM stats WHERE df <= {MAX_DF}),
-r AS (SELECT *, sum(cost) OVER (PARTITION BY grp, view) - {BUDGET} AS excess, coalesce(sum(cost) OVER (PARTITION BY grp, view ORDER BY df DESC, tok ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c)
-SELECT grp, view, tok, df, NOT (excess > 0 AND before < excess) AS alive FROM r""")
+@query(f"WITH {_TOK}, {_BUDGET} SELECT grp, view, tok, df, alive FROM cut")
 def budget_cut_tokens(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """A13, W10."""
     return B.budget_cut(_stats(spark, d, max_df), budget).select("grp", "view", "tok", "df", "alive")
 
 
-def _topk(spark: SparkSession, d: str, key: str, other: str, k: int, max_df: int, budget: float | None) -> DataFrame:
+def _topk(spark: SparkSession, d: str, key: str, other: str, k: int, max_df: int, budget: float) -> DataFrame:
     from pyspark.sql import Window
 
     s = _sims(spark, d, max_df, budget, ("name",)).select("grp", "i", "j", F.round("bs_name", 9).alias("score")).where("score > 0")
@@ -124,19 +123,19 @@ SELECT grp, i, j, round(score, 6) AS score, rank FROM r WHERE rank <= {k}"""
 
 
 @query(_topk_sql("i", "j", 6))
-def topk_token_cosine_s1(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
+def topk_token_cosine_s1(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """The best six records of each clean one."""
     return _topk(spark, d, "i", "j", 6, max_df, budget)
 
 
 @query(_topk_sql("j", "i", 3))
-def topk_token_cosine_rec(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
+def topk_token_cosine_rec(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """The best three clean ones of each record."""
     return _topk(spark, d, "j", "i", 3, max_df, budget)
 
 
 @query(f"WITH {_CAND} SELECT grp, i, j, found, round(bs_full, 6) AS bs_full, round(bs_name, 6) AS bs_name, round(bs_addr, 6) AS bs_addr FROM cand")
-def candidates_found_mask(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
+def candidates_found_mask(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """A15, U2, T3, O1, J5."""
     c = B.candidates(_sims(spark, d, max_df, budget), K_S1, K_REC)
     return c.select("grp", "i", "j", "found", *(F.round(f"bs_{v}", 6).alias(f"bs_{v}") for v in ("full", "name", "addr")))
@@ -149,7 +148,7 @@ ca AS MATERIALIZED (SELECT c.grp, c.i, c.j, a.tok, a.idf FROM cand c JOIN nt a O
 sh AS (SELECT ca.grp, ca.i, ca.j, sum(ca.idf) AS s FROM ca JOIN nt b ON b.side = 'b' AND b.id = ca.j AND b.tok = ca.tok AND b.grp = ca.grp GROUP BY 1, 2, 3)
 SELECT c.i, c.j, round(coalesce(s, 0), 6) AS name_shared, round(greatest(coalesce(ma.m, 0) - coalesce(s, 0), 0), 6) AS name_unm_a, round(greatest(coalesce(mb.m, 0) - coalesce(s, 0), 0), 6) AS name_unm_b
 FROM cand c LEFT JOIN sh USING (grp, i, j) LEFT JOIN tot ma ON ma.grp = c.grp AND ma.side = 'a' AND ma.id = c.i LEFT JOIN tot mb ON mb.grp = c.grp AND mb.side = 'b' AND mb.id = c.j""")
-def overlap_mass(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
+def overlap_mass(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """A16."""
     sims, toks, stats = _parts(spark, d, max_df, budget)
     m = B.overlap_mass(staged(B.candidates(sims, K_S1, K_REC), "candidates"), toks, stats, "name")
@@ -159,7 +158,7 @@ def overlap_mass(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: floa
 @query(f"""WITH {_CAND},
 t AS (SELECT truth.i, truth.j, max(sim.i IS NOT NULL) AS near, max(cand.i IS NOT NULL) AS hit FROM truth LEFT JOIN sim ON sim.i = truth.i AND sim.j = truth.j LEFT JOIN cand ON cand.i = truth.i AND cand.j = truth.j GROUP BY 1, 2)
 SELECT count(*) AS true_pairs, round(avg(hit::INT), 5) AS retrieved, round(avg((NOT near AND NOT hit)::INT), 5) AS unreachable, round(avg((near AND NOT hit)::INT), 5) AS ranked_out, round(avg(near::INT), 5) AS reach_ceiling FROM t""")
-def miss_diagnosis(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
+def miss_diagnosis(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """J19, A17."""
     s = staged(_sims(spark, d, max_df, budget), "similarities")
     return B.diagnose(_truth(spark, d), s, B.candidates(s, K_S1, K_REC))
@@ -171,7 +170,7 @@ _PER = ", ".join(f"round(avg(coalesce((found >> {b}) & 1, 0)), 6) AS recall_{v}_
 @query(f"""WITH {_CAND}, n AS (SELECT count(*) AS n_pairs FROM cand),
 r AS (SELECT round(avg((cand.i IS NOT NULL)::INT), 6) AS recall, {_PER} FROM truth LEFT JOIN cand USING (i, j))
 SELECT n_pairs, round(n_pairs / (SELECT count(*) FROM d WHERE side = 'a'), 6) AS pairs_per_s1, r.* FROM n, r""")
-def recall_report(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float | None = None) -> DataFrame:
+def recall_report(spark: SparkSession, d: str, max_df: int = MAX_DF, budget: float = BUDGET) -> DataFrame:
     """A18."""
     n = table(spark, d, "documents").where("doc_id % 3 = 0").count()
     return B.recall_report(B.candidates(_sims(spark, d, max_df, budget), K_S1, K_REC), _truth(spark, d), n)
@@ -184,18 +183,3 @@ def wildcard_group_join(spark: SparkSession, d: str) -> DataFrame:
     """Rows of an unknown country join every country's group."""
     r = table(spark, d, "documents").select("doc_id", F.when((F.col("doc_id") % 7 == 0) | F.col("lang").isNull(), "unk").otherwise(F.col("lang")).alias("cty"))
     return B.with_groups(r)
-
-
-def _whole(f):
-    """A blocking query at the production settings, under its name and ``_whole``. No SQL: the
-    SQL above holds the small cap."""
-
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        return f(spark, d, Blocking().max_df, Blocking().max_products)
-
-    run.__name__, run.__doc__ = f"{f.__name__}_whole", f.__doc__
-    return query()(run)
-
-
-for _f in (token_df_idf, budget_cut_tokens, topk_token_cosine_s1, topk_token_cosine_rec, candidates_found_mask, overlap_mass, miss_diagnosis, recall_report):
-    _whole(_f)
