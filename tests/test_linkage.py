@@ -150,6 +150,21 @@ def test_expected_f_against_enumeration():
     assert decide.best_size(np.array([0.9, 0.5])) == 1 and len(decide.grid()) == 200
 
 
+def test_expected_f_takes_more_than_twelve_and_the_least_of_ties(spark):
+    p = spark.createDataFrame([(1, j, 0.99) for j in range(15)], "i int, j int, p double")
+    got = decide.select(p, "p", "expected_f", 1.0, 0.0).groupBy("i").agg(F.sum(F.col("sel").cast("int")).alias("k")).collect()
+    assert [(r["i"], r["k"]) for r in got] == [(1, 15)]
+    r = np.random.default_rng(5)
+    for n in (0, 1, 4, 14):
+        q = -np.sort(-np.round(r.random((40, n)), 2), axis=1)
+        assert np.allclose(decide.expected_f_many(q), [decide.expected_f(x) for x in q])
+        want = [int(np.round(decide.expected_f(np.clip(x, 1e-6, 1 - 1e-6)), 12).argmax()) for x in np.where(q > 0, q, 0.5)]
+        assert decide.best_sizes(np.where(q > 0, q, 0.5)).tolist() == want
+    # f(0) = 1 - q and f(1) = q are equal at one half, whatever the last bit says
+    half = np.array([[0.5], [np.nextafter(0.5, 1)], [np.nextafter(0.5, 0)]])
+    assert decide.best_sizes(half).tolist() == [0, 0, 0]
+
+
 def test_grid_scores_equal_select(spark):
     r = np.random.default_rng(3)
     p = spark.createDataFrame([(i, j, float(r.integers(1, 20)) / 20, int(r.integers(0, 2))) for i in range(9) for j in range(14) if r.random() < 0.6], "i int, j int, p double, label int")
