@@ -347,6 +347,31 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(str([text(v) for v in x]) for x in df.select(*cols).collect()) == sorted(str([text(v) for v in x]) for x in r.fetchall())
 
 
+@pytest.mark.parametrize("name", ["jaro_winkler"])
+def test_equal_names_are_scored_once(spark, tmp_path, monkeypatch, name):
+    from weftlink.plans import texts
+
+    parts = [(k, "b", 1, f"name {k % 3}", "x") for k in range(120)] + [(500, "c", 1, "name 0", "x"), (501, "c", 2, "name 0", "x"), (502, "c", 2, None, "x")]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_size int, p_name string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    monkeypatch.setattr(texts, "CHUNK", 7)
+    monkeypatch.setattr(texts, "TASK_PAIRS", 500)
+    seen, names = spark.sparkContext.accumulator(0), texts._names
+
+    def counted(a, b):
+        seen.add(len(a))
+        return a.str.len() + b.str.len()
+
+    udf = F.pandas_udf(counted, "double")
+    udf.asNondeterministic()
+    got = names(spark, str(tmp_path), one=udf(F.col("ni"), F.col("nj"))).collect()
+    assert sorted((r["i"], r["j"]) for r in got) == sorted([*itertools.combinations(range(120), 2), (501, 502)])
+    # 7140 pairs of parts, in 18 chunks of equal names
+    assert seen.value <= 18 * 18 + 1
+    df = plans.queries()[name](spark, str(tmp_path))
+    assert df.columns[:2] == ["i", "j"] and df.count() == 7141
+    assert df.where("i % 3 = j % 3 and i < 120").select(F.min(df.columns[2])).first()[0] == (100 if name == "string_similarity" else 1)
+
+
 def test_whole_blocking_keeps_frequent_tokens(spark, tmp_path):
     texts = [" ".join(c) for c in itertools.combinations("w0 w1 w2 w3 w4 w5 w6 w7".split(), 5)]
     docs = [(3 * k + side, t, "en", "s") for k, t in enumerate(texts) for side in (0, 1)]

@@ -52,7 +52,35 @@ def record_texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", N.record_text(F.coalesce("url", F.lit("")), F.col("page_id").cast("string"), F.lit("x")).alias("text"))
 
 
-def _names(spark: SparkSession, d: str) -> DataFrame:
+#: Keys in an array, and pairs of keys that a task lists, about.
+CHUNK = 4096
+TASK_PAIRS = 2_000_000
+
+
+def _names(spark: SparkSession, d: str, **scores: F.Column) -> DataFrame:
+    """Scores of pairs of parts of one brand and size, by their names ``ni`` and ``nj``. Equal
+    names of a brand and size are one class: a score is taken once for each two classes and
+    then written for all pairs of their parts. Classes are dealt by brand and size into as
+    many tasks as their pairs need; a large brand and size is split on one side."""
+    group = ["p_brand", "p_size"]
+    p = table(spark, d, "part").select("p_partkey", *group, F.concat_ws(" ", "p_name", "p_type").alias("n")).where("p_partkey is not null")
+    n = F.col("count").cast("double")
+    total, most = p.groupBy(group).count().agg(F.coalesce(F.sum(n * n), F.lit(0.0)), F.coalesce(F.max(n * n), F.lit(0.0))).first()
+    salts = min(1024, 1 + int(most // (4 * TASK_PAIRS)))
+    tasks = min(20_000, max(spark.sparkContext.defaultParallelism, int(total // TASK_PAIRS)))
+    c = p.groupBy(*group, "n").agg(F.collect_list("p_partkey").alias("ids"))
+    starts = F.sequence(F.lit(1), F.size("ids"), F.lit(CHUNK))
+    c = c.select(*group, "n", F.explode(F.transform(starts, lambda k: F.slice("ids", k, CHUNK))).alias("ids"))
+    c = c.withColumns({"least": F.array_min("ids"), "most": F.array_max("ids")})
+    side = lambda x, k, salt: x.select(*group, salt.alias("salt"), *(F.col(v).alias(f"{v}_{k}") for v in ("n", "ids", "least", "most"))).repartition(tasks, *group, "salt")
+    i = side(c, "i", F.pmod(F.xxhash64("n", "least"), F.lit(salts)))
+    j = side(c, "j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    both = i.join(j, [*group, "salt"]).where("least_i < most_j").select("ids_i", "ids_j", F.col("n_i").alias("ni"), F.col("n_j").alias("nj"))
+    both = both.select("ids_i", "ids_j", *(F.round(x, 6).alias(k) for k, x in scores.items()))
+    return both.select(F.explode("ids_i").alias("i"), "ids_j", *scores).select("i", F.explode("ids_j").alias("j"), *scores).where("i < j")
+
+
+def _listed(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of parts of one brand and size, by their names."""
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.concat_ws(" ", "p_name", "p_type").alias("n"))
     a, b = (p.select("p_brand", "p_size", F.col("p_partkey").alias(k), F.col("n").alias(f"n{k}")) for k in ("i", "j"))
@@ -65,26 +93,26 @@ _NAMES = "x AS (SELECT a.p_partkey AS i, b.p_partkey AS j, a.p_name || ' ' || a.
 @query(f"WITH {_NAMES} SELECT i, j, round(1 - levenshtein(ni, nj) / greatest(length(ni), length(nj)), 6) AS lev FROM x")
 def lev_norm(spark: SparkSession, d: str) -> DataFrame:
     """C6."""
-    return _names(spark, d).select("i", "j", F.round(S.levenshtein_similarity(F.col("ni"), F.col("nj")), 6).alias("lev"))
+    return _listed(spark, d).select("i", "j", F.round(S.levenshtein_similarity(F.col("ni"), F.col("nj")), 6).alias("lev"))
 
 
 @query(f"WITH {_NAMES} SELECT i, j, round(jaro_winkler_similarity(ni, nj), 6) AS jw FROM x")
 def jaro_winkler(spark: SparkSession, d: str) -> DataFrame:
     """C5."""
-    return _names(spark, d).select("i", "j", F.round(S.jaro_winkler_udf(F.col("ni"), F.col("nj")), 6).alias("jw"))
+    return _names(spark, d, jw=S.jaro_winkler_udf(F.col("ni"), F.col("nj")))
 
 
 @query(f"WITH {_NAMES}, t AS (SELECT i, j, list_distinct(string_split(ni, ' ')) AS a, list_distinct(string_split(nj, ' ')) AS b FROM x) SELECT i, j, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS jaccard FROM t")
 def token_jaccard(spark: SparkSession, d: str) -> DataFrame:
     """U4."""
-    return _names(spark, d).select("i", "j", F.round(S.jaccard(N.tokens(F.col("ni")), N.tokens(F.col("nj"))), 6).alias("jaccard"))
+    return _listed(spark, d).select("i", "j", F.round(S.jaccard(N.tokens(F.col("ni")), N.tokens(F.col("nj"))), 6).alias("jaccard"))
 
 
 @query()
 def string_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Scorers without a form in SQL; the tests hold them against definitions."""
     a, b = F.col("ni"), F.col("nj")
-    return _names(spark, d).select("i", "j", *(F.round(u(a, b), 6).alias(n) for n, u in (("ratio", S.ratio_udf), ("token_set", S.token_set_udf), ("token_sort", S.token_sort_udf), ("partial", S.partial_udf), ("weighted", S.weighted_udf))))
+    return _listed(spark, d).select("i", "j", *(F.round(u(a, b), 6).alias(n) for n, u in (("ratio", S.ratio_udf), ("token_set", S.token_set_udf), ("token_sort", S.token_sort_udf), ("partial", S.partial_udf), ("weighted", S.weighted_udf))))
 
 
 def _businesses(spark: SparkSession, d: str) -> DataFrame:
