@@ -112,7 +112,7 @@ def token_jaccard(spark: SparkSession, d: str) -> DataFrame:
 def string_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Scorers without a form in SQL; the tests hold them against definitions."""
     a, b = F.col("ni"), F.col("nj")
-    return _listed(spark, d).select("i", "j", *(F.round(u(a, b), 6).alias(n) for n, u in (("ratio", S.ratio_udf), ("token_set", S.token_set_udf), ("token_sort", S.token_sort_udf), ("partial", S.partial_udf), ("weighted", S.weighted_udf))))
+    return _names(spark, d, **{n: u(a, b) for n, u in (("ratio", S.ratio_udf), ("token_set", S.token_set_udf), ("token_sort", S.token_sort_udf), ("partial", S.partial_udf), ("weighted", S.weighted_udf))})
 
 
 def _businesses(spark: SparkSession, d: str) -> DataFrame:
