@@ -93,7 +93,7 @@ _NAMES = "x AS (SELECT a.p_partkey AS i, b.p_partkey AS j, a.p_name || ' ' || a.
 @query(f"WITH {_NAMES} SELECT i, j, round(1 - levenshtein(ni, nj) / greatest(length(ni), length(nj)), 6) AS lev FROM x")
 def lev_norm(spark: SparkSession, d: str) -> DataFrame:
     """C6."""
-    return _listed(spark, d).select("i", "j", F.round(S.levenshtein_similarity(F.col("ni"), F.col("nj")), 6).alias("lev"))
+    return _names(spark, d, lev=S.levenshtein_similarity(F.col("ni"), F.col("nj")))
 
 
 @query(f"WITH {_NAMES} SELECT i, j, round(jaro_winkler_similarity(ni, nj), 6) AS jw FROM x")
