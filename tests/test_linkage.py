@@ -347,7 +347,7 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(str([text(v) for v in x]) for x in df.select(*cols).collect()) == sorted(str([text(v) for v in x]) for x in r.fetchall())
 
 
-@pytest.mark.parametrize("name", ["jaro_winkler", "string_similarity", "lev_norm"])
+@pytest.mark.parametrize("name", ["jaro_winkler", "string_similarity", "lev_norm", "token_jaccard"])
 def test_equal_names_are_scored_once(spark, tmp_path, monkeypatch, name):
     from weftlink.plans import texts
 

@@ -80,13 +80,6 @@ def _names(spark: SparkSession, d: str, **scores: F.Column) -> DataFrame:
     return both.select(F.explode("ids_i").alias("i"), "ids_j", *scores).select("i", F.explode("ids_j").alias("j"), *scores).where("i < j")
 
 
-def _listed(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of parts of one brand and size, by their names."""
-    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.concat_ws(" ", "p_name", "p_type").alias("n"))
-    a, b = (p.select("p_brand", "p_size", F.col("p_partkey").alias(k), F.col("n").alias(f"n{k}")) for k in ("i", "j"))
-    return a.join(b, ["p_brand", "p_size"]).where("i < j").select("i", "j", "ni", "nj")
-
-
 _NAMES = "x AS (SELECT a.p_partkey AS i, b.p_partkey AS j, a.p_name || ' ' || a.p_type AS ni, b.p_name || ' ' || b.p_type AS nj FROM part a JOIN part b USING (p_brand, p_size) WHERE a.p_partkey < b.p_partkey)"
 
 
@@ -105,7 +98,7 @@ def jaro_winkler(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_NAMES}, t AS (SELECT i, j, list_distinct(string_split(ni, ' ')) AS a, list_distinct(string_split(nj, ' ')) AS b FROM x) SELECT i, j, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS jaccard FROM t")
 def token_jaccard(spark: SparkSession, d: str) -> DataFrame:
     """U4."""
-    return _listed(spark, d).select("i", "j", F.round(S.jaccard(N.tokens(F.col("ni")), N.tokens(F.col("nj"))), 6).alias("jaccard"))
+    return _names(spark, d, jaccard=S.jaccard(N.tokens(F.col("ni")), N.tokens(F.col("nj"))))
 
 
 @query()
