@@ -372,6 +372,29 @@ def test_equal_names_are_scored_once(spark, tmp_path, monkeypatch, name):
     assert df.where("i % 3 = j % 3 and i < 120").select(F.min(df.columns[2])).first()[0] == (100 if name == "string_similarity" else 1)
 
 
+@pytest.mark.parametrize("max_df,budget,one_in", [(25, 1e12, 4), (10**6, 1500, 1)])
+def test_tiles_equal_the_join(spark, tmp_path, monkeypatch, max_df, budget, one_in):
+    from weftlink.operators import tiles
+    from weftlink.plans import linkage
+
+    r = np.random.default_rng(7)
+    texts = [" ".join(f"word{w}" for w in r.zipf(1.3, r.integers(0, 9)) if w < 60) for _ in range(60)]
+    texts += texts[:20] + ["copy of word1 and word2"] * 30 + ["", None, "alone"]
+    docs = [(int(k), t, ("en", "fr", None)[int(r.integers(0, 3))], f"s{k % 2}") for k, t in enumerate(texts)] + [(900, "of one side", "de", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    for name, value in (("STEP", 60), ("LEAST", 100), ("MOST", 300), ("ONE_IN", one_in), ("SHORT", 2)):
+        monkeypatch.setattr(tiles, name, value)
+    d, q = str(tmp_path), plans.queries()
+    names = ("candidates_found_mask",)
+    rows = lambda n: sorted(map(str, q[n](spark, d, max_df, budget).collect()))
+    monkeypatch.setattr(linkage.B, "similarities", lambda *_: pytest.fail("all products were listed"))
+    got = {n: rows(n) for n in names}
+    monkeypatch.undo()
+    monkeypatch.setattr(tiles, "CELLS", 0)
+    for n in names:
+        assert got[n] == rows(n), n
+
+
 def test_whole_blocking_keeps_frequent_tokens(spark, tmp_path):
     texts = [" ".join(c) for c in itertools.combinations("w0 w1 w2 w3 w4 w5 w6 w7".split(), 5)]
     docs = [(3 * k + side, t, "en", "s") for k, t in enumerate(texts) for side in (0, 1)]

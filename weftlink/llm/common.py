@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.staging import discard, fresh_dir, staged, written
+from weftlink.staging import discard, fresh_dir, open_store, staged, written
 
 __all__ = ["SPACE", "WORD", "discard", "free", "fresh_dir", "open_store", "staged", "table", "words", "written"]
 
@@ -18,14 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def open_store(uri: str):
-    """(file system, path) of a URI or a local path, for tasks that write or read files of
-    their own in the shared folder."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
-
-
 def free(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores as it takes to be no column of ``df``."""
     taken = {c.lower() for c in df.columns}
