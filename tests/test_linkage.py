@@ -385,7 +385,7 @@ def test_tiles_equal_the_join(spark, tmp_path, monkeypatch, max_df, budget, one_
     for name, value in (("STEP", 60), ("LEAST", 100), ("MOST", 300), ("ONE_IN", one_in), ("SHORT", 2)):
         monkeypatch.setattr(tiles, name, value)
     d, q = str(tmp_path), plans.queries()
-    names = ("candidates_found_mask", "topk_token_cosine_rec", "topk_token_cosine_s1", "overlap_mass", "miss_diagnosis", "recall_report",)
+    names = ("topk_token_cosine_s1", "topk_token_cosine_rec", "candidates_found_mask", "overlap_mass", "miss_diagnosis", "recall_report")
     rows = lambda n: sorted(map(str, q[n](spark, d, max_df, budget).collect()))
     monkeypatch.setattr(linkage.B, "similarities", lambda *_: pytest.fail("all products were listed"))
     got = {n: rows(n) for n in names}
