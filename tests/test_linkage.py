@@ -395,6 +395,20 @@ def test_tiles_equal_the_join(spark, tmp_path, monkeypatch, max_df, budget, one_
         assert got[n] == rows(n), n
 
 
+def test_tiles_let_few_pairs_out(spark, monkeypatch):
+    from weftlink.operators import tiles
+
+    r = np.random.default_rng(3)
+    rows = [("g", "a" if k % 3 == 0 else "b", k, [f"w{w}" for w in {*r.integers(0, 200, 30).tolist()}]) for k in range(900)]
+    for name, value in (("LEAST", 1000), ("MOST", 3000)):
+        monkeypatch.setattr(tiles, name, value)
+    store = tiles.prepare(spark.createDataFrame(rows, "grp string, side string, id long, name array<string>"), ("name",), 10**6, 1e12)
+    # 60 tasks: the best of 600 rows in each would be 36,000 pairs
+    got = tiles.best(store, {"name": (0, 1)}, 9, ["name"])
+    assert 600 <= got.count() < 15_000
+    assert spark.sparkContext.parallelize([0], 1).map(lambda _: tiles.TOKENS).first() >= 16_000_000
+
+
 def test_whole_blocking_keeps_frequent_tokens(spark, tmp_path):
     texts = [" ".join(c) for c in itertools.combinations("w0 w1 w2 w3 w4 w5 w6 w7".split(), 5)]
     docs = [(3 * k + side, t, "en", "s") for k, t in enumerate(texts) for side in (0, 1)]
